@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from swelter.llm.chat import digest_conversations
 from swelter.llm.common import read_table
 from swelter.llm.decontamination import decontaminate
+from swelter.llm.fuzzy_passages import fuzzy_passages
 from swelter.llm.licenses import scan
 from swelter.llm.near_dedup import near_duplicates
 from swelter.llm.neighbours import search
 from swelter.llm.packing import pack
 from swelter.llm.quality import classify
+from swelter.llm.repeated_bytes import repeated_bytes
 from swelter.llm.toxicity import assess
 
 
@@ -27,6 +29,14 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), *tokenizer_files())
 
 
+def op2_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_passages(read_table(spark, sf_dir, "documents"))
+
+
+def op3_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes(read_table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assess(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -60,4 +70,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op4_toxicity, op5_license_scan, op6_chat_format, op7_near_duplicates, op8_decontamination, op9_nearest_neighbours, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_fuzzy_passages, op3_repeated_bytes, op4_toxicity, op5_license_scan, op6_chat_format, op7_near_duplicates, op8_decontamination, op9_nearest_neighbours, op10_quality)}
