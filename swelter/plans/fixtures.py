@@ -111,4 +111,6 @@ def with_fixtures(sql: str) -> str:
     if not order:
         return body
     views = ",\n".join(f"{n} AS ({plain(FIXTURES[n])})" for n in order)
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {views}, {body[15:]}"
     return f"WITH {views}, {body[5:]}" if body.upper().startswith("WITH ") else f"WITH {views} {body}"
