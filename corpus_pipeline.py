@@ -1,10 +1,84 @@
-"""A training corpus from raw documents: each stage reads what the one before it kept."""
+"""A training corpus from raw documents: each stage reads what the one before it kept.
+
+STAGES are applied in order; each result is written as Parquet and read again as the next stage's documents. All but the last
+return the columns of ``documents``. Repeated rows of one document are one document from the near-duplicate stage on.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import os
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from swelter.llm.common import read_table
+from swelter.llm.decontamination import decontaminate
+from swelter.llm.near_dedup import near_duplicates
+from swelter.llm.packing import pack
+from swelter.llm.quality import featurize, fit, score
+from swelter.llm.queries import tokenizer_files
+from swelter.llm.repeated_bytes import remove_repeats
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model = fit(featurize(docs), read_table(spark, sf_dir, "labels"))
+    kept = score(docs, model, columns=("text", *COLUMNS[2:])).where("predicted = 1")
+    return kept.select(*COLUMNS)
+
+
+def _one_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row of each document in ``ids``; null ids are rows of their own."""
+    kept = docs.join(ids.distinct(), "doc_id", "left_semi").select(*COLUMNS)
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("n_chars"))
+    return kept.withColumn("_row", first).where("_row = 1").select(*COLUMNS)
+
+
+def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
+    return _one_each(docs, kept)
+
+
+def no_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 400 bytes that stand more than once."""
+    cut = remove_repeats(docs, columns=("lang", "source"))
+    return cut.select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    clean = decontaminate(docs, read_table(spark, sf_dir, "benchmark"), columns=("text", *COLUMNS[2:])).where("not contaminated")
+    return clean.select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document and their places in sequences."""
+    return pack(docs, *tokenizer_files())
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_duplicates", no_near_duplicates),
+    ("repeated_bytes", no_repeated_bytes),
+    ("decontamination", no_benchmark),
+    ("packing", packed),
+]
+
+#: SQL expresses neither the classifier nor the packing, so the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; the tables between them go to the shared checkpoint folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-pipeline-")
+    base = os.path.join(shared, f"pipeline-{uuid.uuid4().hex}")
+    docs = read_table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(path := f"{base}/{k}_{name}")
+        docs = spark.read.parquet(path)
+    return docs

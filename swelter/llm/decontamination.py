@@ -111,29 +111,37 @@ def decontaminate_text(data: np.ndarray, offsets: np.ndarray, index: ItemIndex)
     return np.concatenate(n_words or none), np.concatenate(n_hit or none), found
 
 
-def _batch(ids: pa.Array, n_words, n_hit, names: list[list[str]]) -> pa.RecordBatch:
+def _batch(b: pa.RecordBatch, extra: int, n_words, n_hit, names: list[list[str]]) -> pa.RecordBatch:
+    """Results beside the ids and the columns of the batch from ``extra`` on."""
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()), pa.array([_digest(x) for x in names], pa.string()), pa.array(np.asarray(n_hit) > 0, pa.bool_())],
-        ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+        [b.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()), pa.array([_digest(x) for x in names], pa.string()), pa.array(np.asarray(n_hit) > 0, pa.bool_()), *b.columns[extra:]],
+        ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *b.schema.names[extra:]],
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, columns: tuple[str, ...] = (), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and ``columns`` of the input."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(f"_{c}") for c in columns))
+    types = {f.name[1:]: f.dataType.simpleString() for f in docs.schema.fields[2:]}
+    schema = SCHEMA + "".join(f", `_{c}` {t}" for c, t in types.items())
+    out = _decontaminated(docs, benchmark, schema, broadcast_bytes)
+    return out.select(*(x.split()[0] for x in SCHEMA.split(", ")), *(F.col(f"_{c}").alias(c) for c in columns))
+
+
+def _decontaminated(docs: DataFrame, benchmark: DataFrame, schema: str, broadcast_bytes: int) -> DataFrame:
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null and text <> ''")
     if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > broadcast_bytes:
-        return _by_shuffle(docs, items)
+        return _by_shuffle(docs, items, schema)
     index = docs.sparkSession.sparkContext.broadcast(ItemIndex([tuple(r) for r in items.collect()]))  # of a checked size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield _batch(b.column(0), *decontaminate_text(*text_buffer(b.column(1)), index.value))
+            yield _batch(b, 2, *decontaminate_text(*text_buffer(b.column(1)), index.value))
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(run, schema)
 
 
-def _by_shuffle(docs: DataFrame, items: DataFrame) -> DataFrame:
+def _by_shuffle(docs: DataFrame, items: DataFrame, schema: str) -> DataFrame:
     """The same for a benchmark of any size: fingerprints and windows meet in equi-joins, documents by the key of their text."""
     span = WINDOW - GRAM + 1
 
@@ -193,6 +201,6 @@ def _by_shuffle(docs: DataFrame, items: DataFrame) -> DataFrame:
             for n, own in zip(n_words.tolist(), b.column(2).to_pylist(), strict=True):
                 own = own or []
                 n_hit.append(int(covered(np.array([x["at"] for x in own], np.int64), np.array([x["n"] for x in own], np.int64), n).sum()))
-            yield _batch(b.column(0), n_words, n_hit, [x or [] for x in b.column(3).to_pylist()])
+            yield _batch(b, 4, n_words, n_hit, [x or [] for x in b.column(3).to_pylist()])
 
-    return keyed.join(hits, ["k1", "k2"], "left").select("doc_id", "text", "spans", "items").mapInArrow(count, SCHEMA)
+    return keyed.join(hits, ["k1", "k2"], "left").select("doc_id", "text", "spans", "items", *docs.columns[2:]).mapInArrow(count, schema)
