@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None) -> Callable:
     return register
 
 
-from swelter.plans import audits, backtests, catalogues, forecasts, gaps, geography, merges, observations, statistics  # noqa: E402, F401
+from swelter.plans import archives, audits, backtests, catalogues, forecasts, gaps, geography, merges, observations, statistics  # noqa: E402, F401
