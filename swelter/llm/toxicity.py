@@ -1,11 +1,11 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
 A model of grades 0 < 1 < ... < G-1 with one weight per feature, shared by all thresholds: P(grade <= k) =
-logistic(threshold_k - w.x). Features are log counts of the ``FEATURES`` word hashes that tell the lowest grade from the others
-best (by the z-score of their log odds). It learns from a hash-ordered sample of at most ``SAMPLE`` labelled documents, the one
+logistic(threshold_k - w.x). Features are one plus the log counts of the ``FEATURES`` word hashes that tell the lowest grade from the others
+best (by the z-score of their log odds, ``MIN_Z`` at least). It learns from a hash-ordered sample of at most ``SAMPLE`` labelled documents, the one
 bound here; scoring covers every word of every document. The expected grade is the severity.
 
-Labels of one bit are graded here: 0 clean, 1 toxic, 2 toxic with an above-median share of telling words.
+Labels of one bit are graded here: 0 clean, 1 toxic, 2 toxic with more telling words than the median.
 
 Null and empty texts score what the thresholds alone say. Labels that are null are not learned from; of several labels of a
 document the highest counts. With no toxic or no clean label, every severity is 0. Repeated documents each get their row; extra
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from swelter.llm.common import PLAIN_WORDS, Words, in_sorted, slices, text_buffer
 from swelter.llm.quality import fold
 
-SAMPLE, FEATURES, MIN_DOCS, CUT = 20_000, 4096, 3, 0.3
+SAMPLE, FEATURES, MIN_DOCS, MIN_Z, TELLING_Z, CUT = 20_000, 4096, 3, 2.5, 3.5, 0.3
 
 
 @dataclass
@@ -48,7 +48,7 @@ def logits(data: np.ndarray, offsets: np.ndarray, model: Ordinal) -> np.ndarray:
         at = in_sorted(w.hashes, model.words)
         row = np.repeat(np.arange(j - i), w.counts)
         pair, n = np.unique(row[at >= 0] * len(model.words) + at[at >= 0], return_counts=True)
-        out.append(np.bincount(pair // max(len(model.words), 1), np.log1p(n) * model.weights[pair % max(len(model.words), 1)], minlength=j - i) if len(pair) else np.zeros(j - i))
+        out.append(np.bincount(pair // max(len(model.words), 1), (1 + np.log(n)) * model.weights[pair % max(len(model.words), 1)], minlength=j - i) if len(pair) else np.zeros(j - i))
     return np.concatenate(out)
 
 
@@ -99,9 +99,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
     counted = bags.select("y", F.explode("h").alias("h")).groupBy("h").agg(*(F.count(F.when(F.col("y") == y, 1)).alias(f"d{y}") for y in (0, 1))).where(F.col("d0") + F.col("d1") >= MIN_DOCS)
     a, b = F.col("d1") + 0.5, F.col("d0") + 0.5
     ratio = F.log(a / (total[1] - F.col("d1") + 0.5)) - F.log(b / (total[0] - F.col("d0") + 0.5))
-    ranked = counted.withColumn("z", ratio / F.sqrt(1 / a + 1 / b)).orderBy(F.desc(F.abs("z")), "h").limit(features).collect()  # so many features
+    ranked = counted.withColumn("z", ratio / F.sqrt(1 / a + 1 / b)).where(F.abs("z") >= MIN_Z).orderBy(F.desc(F.abs("z")), "h").limit(features).collect()  # so many features
     table = np.array([r["h"] for r in ranked], np.int64).view(np.uint64)
-    telling = np.sort(table[np.array([r["z"] > 4 for r in ranked], bool)])
+    telling = np.sort(table[np.array([r["z"] > TELLING_Z for r in ranked], bool)])
     table = np.sort(table)
     sent = spark.sparkContext.broadcast((table, telling))
 
@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
             for y, size, h, n in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 h, n = np.array(h, np.int64).view(np.uint64), np.array(n)
                 at = in_sorted(h, table)
-                share = n[in_sorted(h, telling) >= 0].sum() / max(size, 1)
+                share = float(n[in_sorted(h, telling) >= 0].sum())
                 yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([share], pa.float64()), pa.array([at[at >= 0].tolist()], pa.list_(pa.int32())), pa.array([n[at >= 0].tolist()], pa.list_(pa.int32()))], ["y", "share", "at", "n"])
 
     rows = bags.mapInArrow(narrow, "y int, share double, at array<int>, n array<int>").collect()  # at most ``sample`` rows of at most ``features`` numbers
@@ -122,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
         grades = y
     where = np.repeat(np.arange(len(rows)), [len(r["at"]) for r in rows])
     cols = np.array([k for r in rows for k in r["at"]], np.int64)
-    values = np.log1p(np.array([k for r in rows for k in r["n"]], float))
+    values = 1 + np.log(np.array([k for r in rows for k in r["n"]], float))
     weights, thresholds = ordinal(where, cols, values, grades, len(table))
     return Ordinal(table, weights, thresholds)
 
