@@ -111,11 +111,11 @@ def decontaminate_text(data: np.ndarray, offsets: np.ndarray, index: ItemIndex)
     return np.concatenate(n_words or none), np.concatenate(n_hit or none), found
 
 
-def _batch(b: pa.RecordBatch, extra: int, n_words, n_hit, names: list[list[str]]) -> pa.RecordBatch:
+def _batch(b: pa.RecordBatch, extra: int, columns: list[str], n_words, n_hit, names: list[list[str]]) -> pa.RecordBatch:
     """Results beside the ids and the columns of the batch from ``extra`` on."""
     return pa.RecordBatch.from_arrays(
         [b.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()), pa.array([_digest(x) for x in names], pa.string()), pa.array(np.asarray(n_hit) > 0, pa.bool_()), *b.columns[extra:]],
-        ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *b.schema.names[extra:]],
+        ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *columns],
     )
 
 
@@ -134,16 +134,18 @@ def _decontaminated(docs: DataFrame, benchmark: DataFrame, schema: str, broadcas
         return _by_shuffle(docs, items, schema)
     index = docs.sparkSession.sparkContext.broadcast(ItemIndex([tuple(r) for r in items.collect()]))  # of a checked size
 
+    carried = docs.columns[2:]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield _batch(b, 2, *decontaminate_text(*text_buffer(b.column(1)), index.value))
+            yield _batch(b, 2, carried, *decontaminate_text(*text_buffer(b.column(1)), index.value))
 
     return docs.mapInArrow(run, schema)
 
 
 def _by_shuffle(docs: DataFrame, items: DataFrame, schema: str) -> DataFrame:
     """The same for a benchmark of any size: fingerprints and windows meet in equi-joins, documents by the key of their text."""
-    span = WINDOW - GRAM + 1
+    span, carried = WINDOW - GRAM + 1, docs.columns[2:]
 
     def item_rows(batches):
         for b in batches:
@@ -201,6 +203,6 @@ def _by_shuffle(docs: DataFrame, items: DataFrame, schema: str) -> DataFrame:
             for n, own in zip(n_words.tolist(), b.column(2).to_pylist(), strict=True):
                 own = own or []
                 n_hit.append(int(covered(np.array([x["at"] for x in own], np.int64), np.array([x["n"] for x in own], np.int64), n).sum()))
-            yield _batch(b, 4, n_words, n_hit, [x or [] for x in b.column(3).to_pylist()])
+            yield _batch(b, 4, carried, n_words, n_hit, [x or [] for x in b.column(3).to_pylist()])
 
     return keyed.join(hits, ["k1", "k2"], "left").select("doc_id", "text", "spans", "items", *docs.columns[2:]).mapInArrow(count, schema)

@@ -147,7 +147,7 @@ def fit(features: DataFrame, labels: DataFrame, *, label: str = "quality", shrin
 
 def score(docs: DataFrame, model: Discriminant, *, columns: tuple[str, ...] = (), threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score and predicted for each document, with ``columns`` of the input carried along."""
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *columns)
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("scored"), *columns)
     names = ["doc_id", "score", "predicted", *columns]
     types = {f.name: f.dataType.simpleString() for f in kept.schema}
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -155,7 +155,7 @@ def score(docs: DataFrame, model: Discriminant, *, columns: tuple[str, ...] = ()
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = sent.value.scores(statistics(*text_buffer(b.column(1))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *(b.column(b.schema.names.index(c)) for c in columns)], names)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *b.columns[2:]], names)
 
     return kept.mapInArrow(run, "doc_id long, score double, predicted int" + "".join(f", `{c}` {types[c]}" for c in columns))
 

@@ -145,7 +145,8 @@ def _windows(batches: Iterator[pa.RecordBatch], length: int = LENGTH) -> Iterato
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, k1[r])), pa.array(np.full(n, k2[r])), pa.array(at + starts[r]), pa.array(h.view(np.int64))], ["k1", "k2", "at", "h"])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(batches: Iterator[pa.RecordBatch], carried: tuple[str, ...] = (), keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """The results, with the text that is left if it is to be kept, and the columns of the batch from the fourth on."""
     for b in batches:
         data, offsets = text_buffer(b.column(1))
         out = []
@@ -161,11 +162,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 kept = x[~gone].tobytes()
             else:
                 spans, kept = 0, x.tobytes()
-            out.append((doc, len(x), len(x) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if b.num_columns > 3 else None))
-        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+            out.append((doc, len(x), len(x) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore") if keep else None))
+        columns = list(zip(*out, strict=True)) or [()] * 6
         types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-        extra = [b.column(k) for k in range(4, b.num_columns)]
-        yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)), *extra], [*names, *b.schema.names[4:]]) if out else pa.RecordBatch.from_arrays([*(pa.array([], t) for t in types), *extra], [*names, *b.schema.names[4:]])
+        yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(columns, types, strict=True)), *b.columns[3:]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", *carried])
 
 
 def repeats(docs: DataFrame) -> DataFrame:
@@ -208,11 +208,11 @@ def remove_repeats(docs: DataFrame, *, columns: tuple[str, ...] = ()) -> DataFra
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, the text that is left, and ``columns`` of the input.
 
     A character of which some bytes are removed goes whole."""
-    rows = _joined(docs, columns).select("doc_id", "text", "marks", F.lit(True).alias("keep"), *columns)
+    rows = _joined(docs, columns).select("doc_id", "text", "marks", *columns)
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.mapInArrow(_cut, _OUT + "".join(f", `{c}` {types[c]}" for c in columns))
+    return rows.mapInArrow(lambda it: _cut(it, columns, True), _OUT + "".join(f", `{c}` {types[c]}" for c in columns))
 
 
 def repeated_bytes(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every document row."""
-    return _joined(docs, ()).select("doc_id", "text", "marks").mapInArrow(_cut, _OUT).drop("text")
+    return _joined(docs, ()).select("doc_id", "text", "marks").mapInArrow(lambda it: _cut(it), _OUT).drop("text")
