@@ -8,8 +8,9 @@
    are kept for step 5, so its pairs are never all made.
 4. Pairs are confirmed on 40-bit hashes of the whole sets (which miscount a pair of a thousand shingles less than once in a
    million), and links are joined to components.
-5. Members of a large bucket that are not yet in one component are compared with each other, unless the triangle inequality of the
-   Jaccard distance, with the distances to the smallest class known, rules a link out. So no link is lost.
+5. Members of a large bucket that are not yet in its commonest component are compared with all of that component's members in
+   large buckets and with each other, on whole sets, in blocks of ``BLOCK_SETS`` sets that are never joined to pairs. So no link
+   between components is lost.
 
 Null, empty and wordless texts have no shingles and are linked with nothing. A component is named by the smallest doc_id of its
 documents; null ids come last. Repeated rows each get a row; extra columns are ignored.
@@ -28,7 +29,7 @@ from swelter.llm.common import durable, mixed, parallelism, text_buffer
 from swelter.llm.components import components
 from swelter.llm.minhash import SHINGLE, block_keys, shingle_sets, signature
 
-SIMILARITY, SMALL, KEPT_BYTES = (4, 5), 48, 5
+SIMILARITY, SMALL, KEPT_BYTES, BLOCK_SETS = (4, 5), 48, 5, 2048
 
 
 def _summary(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -149,26 +150,28 @@ class NearDuplicates:
         found = durable(keys.repartition(width, "key").sortWithinPartitions("key", "cid").mapInArrow(_pairs, "key long, a long, b long"))
         return found.where("key is null").select("a", "b").distinct(), found.where("key is not null")
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """common and together (sizes of intersection and union) of each pair, on whole sets."""
-        pairs = durable(pairs)
-        wanted = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """The shingle set of one text of each wanted class (cid)."""
         sources = self.classes.join(wanted, "cid", "left_semi").select("cid", F.col("doc_id").alias("d"), F.col("k").alias("kk"))
         found = self.texts.join(sources, (F.col("k") == F.col("kk")) & F.col("doc_id").eqNullSafe(F.col("d"))).select("cid", "text")
         size = self.size
-        sets = durable(found.mapInArrow(lambda it: _blobs(it, size), "cid long, set binary").dropDuplicates(["cid"]))
+        return durable(found.mapInArrow(lambda it: _blobs(it, size), "cid long, set binary").dropDuplicates(["cid"]))
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that are linked, on whole sets."""
+        pairs = durable(pairs)
+        sets = self.sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
         whole = pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("cid").alias("b"), F.col("set").alias("y")), "b")
-        return durable(whole.select("a", "b", "x", "y").mapInArrow(_overlap, "a long, b long, common long, together long"))
+        num, den = SIMILARITY
+        seen = whole.select("a", "b", "x", "y").mapInArrow(_overlap, "a long, b long, common long, together long")
+        return durable(seen.where(F.expr(f"{den} * common >= {num} * together")).select("a", "b"))
 
     def result(self) -> DataFrame:
-        num, den = SIMILARITY
-        linked = F.expr(f"{den} * common >= {num} * together")
         pairs, members = self.candidates()
-        known = self.confirmed(pairs)
-        links = known.where(linked).select("a", "b")
+        links = self.links(pairs)
         roots = components(links)
         if members.take(1):
-            links, roots = self._rest(members, known, links, roots)
+            roots = components(links.union(self._rest(members, roots)))
         node = self.classes.select("cid", "doc_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
         first = node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         named = node.join(first, "root").select(F.col("cid").alias("c"), "component_id")
@@ -176,22 +179,43 @@ class NearDuplicates:
         component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
         return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
-    def _rest(self, members: DataFrame, known: DataFrame, links: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Step 5: what large buckets still hold between components."""
-        num, den = SIMILARITY
-        gap = known.select("a", F.col("b").alias("hub"), (1 - F.col("common") / F.col("together")).alias("d"))
-        sizes = self.classes.select(F.col("cid").alias("a"), "n")
-        at = members.withColumnRenamed("b", "hub").join(gap, ["a", "hub"], "left").join(roots.select(F.col("node").alias("a"), "root"), "a", "left").join(sizes, "a")
-        at = durable(at.select("key", "a", "n", F.coalesce("root", "a").alias("root"), F.when(F.col("a") == F.col("hub"), 0.0).otherwise(F.col("d")).alias("d")))
-        # per bucket, the root that most members have needs no pairs of its own
-        common = at.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("most"))
-        odd = at.join(common, "key").where("root <> most").select("key", F.col("a").alias("x"), F.col("n").alias("nx"), F.col("root").alias("rx"), F.col("d").alias("dx"))
-        reach = 1 - num / den + 1e-9
-        pairs = at.join(odd, "key").where("root <> rx").where(F.expr(f"{den} * least(n, nx) >= {num} * greatest(n, nx)")).where(F.coalesce(F.abs(F.col("d") - F.col("dx")) <= reach, F.lit(True)))
-        pairs = pairs.select(F.greatest("a", "x").alias("a"), F.least("a", "x").alias("b")).distinct().join(known, ["a", "b"], "left_anti")
-        more = self.confirmed(pairs).where(f"{den} * common >= {num} * together").select("a", "b")
-        links = links.union(more)
-        return links, components(links)
+    def _rest(self, members: DataFrame, roots: DataFrame) -> DataFrame:
+        """Step 5: links between the components that meet in large buckets, one at least for each class and component."""
+        at = members.select("key", "a").join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
+        home = at.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("home"))
+        at = durable(at.join(home, "key").select("home", "a", "root").distinct())
+        asked = at.where("root <> home")
+        held = at.join(asked.select("home").distinct(), "home", "left_semi")
+        blocks = held.groupBy("home").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
+        sets = self.sets(held.select(F.col("a").alias("cid")).distinct())
+        held = held.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")).join(sets.withColumnRenamed("cid", "a"), "a")
+        asked = asked.join(blocks, "home").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sets.withColumnRenamed("cid", "a"), "a")
+        columns = ["home", "block", "a", "root", "set"]
+        asked = asked.select(*(F.col(c).alias(f"asked_{c}") for c in columns))
+        both = held.select(*columns).groupBy("home", "block").cogroup(asked.groupBy("asked_home", "asked_block"))
+        return durable(both.applyInArrow(_met, "a long, b long"))
+
+
+def _met(held: pa.Table, asked: pa.Table) -> pa.Table:
+    """For each asked set, one linked held set of every other component."""
+    num, den = SIMILARITY
+    ids, roots = held["a"].to_numpy(), held["root"].to_numpy()
+    sets = [_opened(x) for x in held["set"].to_pylist()]
+    sizes = np.array([len(x) for x in sets], np.int64)
+    shingles, owner = np.concatenate([*sets, np.zeros(0, np.uint64)]), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owner = shingles[order], owner[order]
+    out: list[tuple[int, int]] = []
+    for a, root, blob in zip(*(asked[f"asked_{c}"].to_pylist() for c in ("a", "root", "set")), strict=True):
+        x = _opened(blob)
+        low, high = np.searchsorted(shingles, x), np.searchsorted(shingles, x, "right")
+        n = high - low
+        hits = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        common = np.bincount(owner[hits], minlength=len(sets))
+        linked = np.flatnonzero((den * common >= num * (sizes + len(x) - common)) & (roots != root))
+        _, first = np.unique(roots[linked], return_index=True)
+        out += [(max(a, int(b)), min(a, int(b))) for b in ids[linked[first]]]
+    return pa.table([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
