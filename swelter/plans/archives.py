@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from swelter.functions.expr import rounded
+from swelter.functions.session import shared_folder
 from swelter.operators import merge
 from swelter.plans.registry import query
 from swelter.plans.statistics import r
@@ -157,7 +158,7 @@ def _(t):
 
 def _landed(t, df, kind: str, **options) -> str:
     """A folder of files of an archive's shape, written from the tables."""
-    shared = t.spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spark-landed"
+    shared = shared_folder(t.spark)
     path = os.path.join(shared, f"landed-{uuid.uuid4().hex}")
     df.write.options(**options).format(kind).save(path)
     return path
@@ -165,7 +166,7 @@ def _landed(t, df, kind: str, **options) -> str:
 
 @query("s1_read_daily", f"SELECT location_id, CAST(year(date) AS INT) AS year, source, count(*) AS n, {r('sum(wetbulb)', 1)} AS total FROM {{dense_daily}} WHERE year(date) BETWEEN 2001 AND 2003 GROUP BY ALL")
 def _(t):
-    shared = t.spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spark-landed"
+    shared = shared_folder(t.spark)
     root = os.path.join(shared, f"daily-{uuid.uuid4().hex}")
     t.dense_daily.where("year(date) between 2000 and 2004").withColumn("year", F.year("date")).repartition("year").write.partitionBy("year").parquet(root)
     out = tables.read_daily(t.spark, root, start_year=2001, end_year=2003, pattern="*.parquet")
@@ -221,13 +222,13 @@ def _(t):
 
 @query("s13_read_dimensions", "SELECT id, city, state, lat, lng FROM {locations}")
 def _(t):
-    root = os.path.join(t.spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spark-landed", f"dimensions-{uuid.uuid4().hex}")
+    root = os.path.join(shared_folder(t.spark), f"dimensions-{uuid.uuid4().hex}")
     t.locations.select(F.col("id").alias("location_id"), "city", "state", "lat", "lng").write.option("header", True).csv(f"{root}/locations.csv")
     return tables.read_dimensions(t.spark, root, ("locations",))["locations"]
 
 
 @query("l6_write_report", "SELECT source, count(*) AS days FROM {dense_daily} GROUP BY 1")
 def _(t):
-    path = os.path.join(t.spark.conf.get("spark.checkpoint.dir", None) or "/tmp/spark-landed", f"report-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(t.spark), f"report-{uuid.uuid4().hex}")
     merge.write_report(t.dense_daily.groupBy("source").agg(F.count("*").alias("days")), path)
     return t.spark.read.schema("source string, days long").json(path)
