@@ -32,10 +32,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def _one_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row of each document in ``ids``; null ids are rows of their own."""
+    """One row of each document in ``ids``; rows without an id cannot be told apart and all stay."""
     kept = docs.join(ids.distinct(), "doc_id", "left_semi").select(*COLUMNS)
     first = F.row_number().over(Window.partitionBy("doc_id").orderBy("n_chars"))
-    return kept.withColumn("_row", first).where("_row = 1").select(*COLUMNS)
+    kept = kept.withColumn("_row", first).where("_row = 1").select(*COLUMNS)
+    return kept.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
