@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are hashed in slices of at most this many bytes (one longer text makes a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 512 << 10
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
