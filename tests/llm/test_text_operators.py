@@ -254,3 +254,27 @@ def test_empty_tables(spark):
     assert decontamination.decontaminate(frame(spark, [(1, "a b c")]), items).collect()[0].n_hit == 0
     assert packing.pack(none, *tokenizer_files()).count() == 0
     assert fuzzy_passages.fuzzy_passages(none).count() == 0
+
+
+# --- fuzzy passages: whole results
+
+
+def fuzzy(spark, rows):
+    return {r.doc_id: r for r in fuzzy_passages.fuzzy_passages(frame(spark, rows)).collect()}
+
+
+def fresh_words(seed):
+    import random
+
+    rng = random.Random(seed)
+    return lambda n: [f"v{rng.randrange(50_000)}" for _ in range(n)]
+
+
+def test_fuzzy_passages_of_a_repeated_line(spark):
+    fresh = fresh_words(6)
+    line, lead = fresh(20), fresh(60)
+    rows = [(1, fresh(40) + line * 5 + fresh(40)), (2, fresh(70) + line * 5 + fresh(40)), (3, fresh(30) + lead), (4, lead[5:15] + fresh(100) + lead + fresh(20) + lead)]
+    got = fuzzy(spark, [(i, " ".join(w)) for i, w in rows])
+    assert set(got) == {1, 2, 3, 4}
+    assert [tuple(s) for s in got[1].spans] == [(40, 140)] and [tuple(s) for s in got[2].spans] == [(70, 170)]
+    assert [tuple(s) for s in got[3].spans] == [(30, 90)] and [tuple(s) for s in got[4].spans] == [(110, 170), (190, 250)]
