@@ -278,3 +278,26 @@ def test_fuzzy_passages_of_a_repeated_line(spark):
     assert set(got) == {1, 2, 3, 4}
     assert [tuple(s) for s in got[1].spans] == [(40, 140)] and [tuple(s) for s in got[2].spans] == [(70, 170)]
     assert [tuple(s) for s in got[3].spans] == [(30, 90)] and [tuple(s) for s in got[4].spans] == [(110, 170), (190, 250)]
+
+
+def test_fuzzy_passages_of_one_chain(spark):
+    fresh = fresh_words(7)
+    one, two = fresh(60), fresh(60)
+    rows = [(i, " ".join(fresh(10 * i) + one + fresh(60) + two + fresh(30))) for i in (1, 2)]
+    got = fuzzy(spark, rows)
+    assert [tuple(s) for s in got[1].spans] == [(10, 70), (130, 190)] and got[2].n_repeated == 120
+
+
+def test_alignment_finds_the_dense_part_of_a_loose_segment():
+    x = np.arange(200, dtype=np.uint64)
+    y = x.copy()
+    y[np.arange(0, 200)[(np.arange(200) % 4 == 3) & ((np.arange(200) < 60) | (np.arange(200) >= 120))]] += np.uint64(1000)
+    ((s, e, t, f),) = fuzzy_passages.aligned(x, y, np.arange(60, 116), np.arange(60, 116))
+    assert s <= 60 and e >= 120 and (s, e) == (t, f) and (x[s:e] == y[s:e]).mean() >= 0.8
+
+
+def test_chains_leave_what_lies_in_their_gaps():
+    steps = np.arange(0, 61, 4)
+    x, y = np.concatenate([steps, steps + 100, steps + 200, steps + 300]), np.concatenate([steps, steps + 200, steps + 100, steps + 300])
+    found = fuzzy_passages.chains(x, y)
+    assert set(np.concatenate(found)) == set(range(len(x))) and len(found) == 2
