@@ -301,3 +301,13 @@ def test_chains_leave_what_lies_in_their_gaps():
     x, y = np.concatenate([steps, steps + 100, steps + 200, steps + 300]), np.concatenate([steps, steps + 200, steps + 100, steps + 300])
     found = fuzzy_passages.chains(x, y)
     assert set(np.concatenate(found)) == set(range(len(x))) and len(found) == 2
+
+
+def test_fuzzy_passages_with_many_edits(spark):
+    fresh = fresh_words(8)
+    rows = []
+    for i in range(60):
+        passage, every = fresh(60), (8, 10, 12)[i % 3]
+        edited = [fresh(1)[0] if k % every == every - 1 else w for k, w in enumerate(passage)]
+        rows += [(2 * i, " ".join(fresh(40) + passage + fresh(40))), (2 * i + 1, " ".join(fresh(30) + edited + fresh(50)))]
+    assert set(fuzzy(spark, rows)) == set(range(120))
