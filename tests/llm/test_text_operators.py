@@ -311,3 +311,14 @@ def test_fuzzy_passages_with_many_edits(spark):
         edited = [fresh(1)[0] if k % every == every - 1 else w for k, w in enumerate(passage)]
         rows += [(2 * i, " ".join(fresh(40) + passage + fresh(40))), (2 * i + 1, " ".join(fresh(30) + edited + fresh(50)))]
     assert set(fuzzy(spark, rows)) == set(range(120))
+
+
+def test_fuzzy_passages_beside_a_hub_that_has_only_the_seeds(spark):
+    """A passage whose seeds many unrelated texts hold: pieces of it stand in twenty texts each, and two hold it whole."""
+    fresh = fresh_words(9)
+    passage = fresh(60)
+    rows = [(1000 + 20 * p + i, " ".join(fresh(20) + passage[p : p + 20] + fresh(30))) for p in range(0, 50, 10) for i in range(20)]
+    rows += [(i, " ".join(fresh(10 * i) + passage + fresh(40))) for i in (1, 2)]
+    got = fuzzy(spark, rows)
+    assert set(got) == {1, 2} and got[1].partners == [2]
+    assert [tuple(s) for s in got[1].spans] == [(10, 70)]
