@@ -1,6 +1,6 @@
 """Licence scan with ordered signature rules, in Spark functions only.
 
-Each rule has a priority, a label, a keyword and a hand-written regex. One pass over the text collects the keywords that
+Each rule has a priority, a label, a keyword (or several, one of which every match holds as a word) and a hand-written regex. One pass over the text collects the keywords that
 occur; only the rules of those keywords run. Of overlapping detections, one that lies inside another of the same or a
 better priority is suppressed (for equal spans the earlier rule stands). The rest give the labels and the score, the
 weight of the best priority among them.
@@ -45,7 +45,7 @@ mpl | mozilla | Mozilla\\s+Public\\s+Licen[sc]e | 1.0 1.1 2.0
 mpl | mpl | MPL | 1.0 1.1 2.0
 epl | eclipse | Eclipse\\s+Public\\s+Licen[sc]e | 1.0 2.0
 cddl | development | Common\\s+Development\\s+and\\s+Distribution\\s+Licen[sc]e | 1.0 1.1
-cpl | licen | Common\\s+Public\\s+Licen[sc]e | 0.5 1.0
+cpl | common | Common\\s+Public\\s+Licen[sc]e | 0.5 1.0
 eupl | union | European\\s+Union\\s+Public\\s+Licen[sc]e | 1.0 1.1 1.2
 artistic | artistic | Artistic\\s+Licen[sc]e | 1.0 2.0
 afl | academic | Academic\\s+Free\\s+Licen[sc]e | 1.2 2.0 2.1 3.0
@@ -53,7 +53,7 @@ osl | open | Open\\s+Software\\s+Licen[sc]e | 1.0 2.0 2.1 3.0
 ofl | font | SIL\\s+Open\\s+Font\\s+Licen[sc]e | 1.0 1.1
 boost | boost | Boost\\s+Software\\s+Licen[sc]e | 1.0
 psf | python | Python\\s+Software\\s+Foundation\\s+Licen[sc]e | 2.0
-php | licen | PHP\\s+Licen[sc]e | 3.0 3.01
+php | php | PHP\\s+Licen[sc]e | 3.0 3.01
 zpl | zope | Zope\\s+Public\\s+Licen[sc]e | 1.1 2.0 2.1
 lppl | latex | LaTeX\\s+Project\\s+Public\\s+Licen[sc]e | 1.0 1.1 1.2 1.3
 cecill | cecill | CeCILL(?:\\s+Free\\s+Software)?(?:\\s+Licen[sc]e)? | 1.0 2.0 2.1
@@ -92,8 +92,8 @@ NAMED = """
 3 | vim | licen | Vim\\s+licen[sc]e
 3 | ruby | licen | Ruby(?:'s)?\\s+licen[sc]e
 3 | x11 | licen | X11\\s+licen[sc]e
-3 | wtfpl | wtfpl | WTFPL|Do\\s+What\\s+the\\s+Fuck\\s+You\\s+Want\\s+to\\s+Public\\s+Licen[sc]e
-3 | unlicense | licen | (?:the\\s+)?Unlicense
+3 | wtfpl | wtfpl fuck | WTFPL|Do\\s+What\\s+the\\s+Fuck\\s+You\\s+Want\\s+to\\s+Public\\s+Licen[sc]e
+3 | unlicense | unlicense | (?:the\\s+)?Unlicense
 3 | cc0 | cc0 | CC0(?:\\s+1\\.0)?(?:\\s+Universal)?
 3 | cc | creative | Creative\\s+Commons(?:\\s+licen[sc]e)?
 3 | ms-pl | microsoft | Microsoft\\s+Public\\s+Licen[sc]e
@@ -109,15 +109,15 @@ NAMED = """
 3 | perl | perl | same\\s+terms\\s+as\\s+Perl(?:\\s+itself)?
 4 | public-domain | domain | public\\s+domain
 4 | copyright | copyright | copyright\\s+(?:\\(c\\)|©)?\\s*(?:19|20)\\d\\d(?:\\s*[-–,]\\s*(?:19|20)?\\d\\d)*
-4 | copyright | copyright | (?:\\(c\\)|©)\\s*copyright
+4 | copyright | copyright ©copyright | (?:\\(c\\)|©)\\s*copyright
 4 | reserved | reserved | (?:all|some|no)\\s+rights\\s+reserved
 4 | proprietary | proprietary | proprietary(?:\\s+and\\s+confidential)?(?:\\s+(?:software|information|licen[sc]e))
 4 | no-warranty | warrant | (?:without|no)\\s+warranty\\s+of\\s+any\\s+kind
 4 | no-warranty | warrant | provided\\s+"?as[\\s-]is"?,?\\s+without\\s+(?:any\\s+)?(?:express\\s+or\\s+implied\\s+)?warrant(?:y|ies)
-4 | licensed | licen | (?:is\\s+|are\\s+)?(?:licen[sc]ed|released|distributed|available)\\s+under(?:\\s+the)?(?:\\s+terms\\s+of(?:\\s+the)?)?
+4 | licensed | under | (?:is\\s+|are\\s+)?(?:licen[sc]ed|released|distributed|available)\\s+under(?:\\s+the)?(?:\\s+terms\\s+of(?:\\s+the)?)?
 4 | license-file | licen | see\\s+(?:the\\s+)?(?:accompanying\\s+)?LICEN[SC]E(?:\\s+file|\\.txt|\\.md)
-4 | commercial | commercial | (?:not\\s+for\\s+|no\\s+|non-?)commercial\\s+use
-4 | no-ai | training | may\\s+not\\s+be\\s+used\\s+(?:for|to)\\s+train(?:ing)?
+4 | commercial | commercial noncommercial | (?:not\\s+for\\s+|no\\s+|non-?)commercial\\s+use
+4 | no-ai | train training | may\\s+not\\s+be\\s+used\\s+(?:for|to)\\s+train(?:ing)?
 4 | permission | permission | (?:used|reprinted|reproduced)\\s+(?:with|by)\\s+permission
 4 | trademark | trademark | (?:registered\\s+)?trademarks?\\s+of
 """.strip().splitlines()
@@ -166,7 +166,7 @@ def _spellings(keyword: str) -> list[str]:
     """The lower-cased words that stand for a keyword."""
     stems = {"licen": "license licence licensed licenced licenses licences licensing", "warrant": "warranty warranties warrants", "trademark": "trademark trademarks", "openrail": "openrail rail", "zope": "zope", "beer": "beer beerware", "cc": "cc", "mulan": "mulan", "redistribution": "redistribution"}
     if keyword in ("gpl", "lgpl", "agpl", "mpl", "cecill"):
-        return [keyword, *(f"{keyword}{v}{n}" for v in ("", "v") for n in range(1, 4))]
+        return [f"{keyword}{v}{n}" for v in ("", "v", "version") for n in ("", 1, 2, 3)]
     return stems.get(keyword, keyword).split()
 
 

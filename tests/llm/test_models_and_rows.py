@@ -88,6 +88,49 @@ def test_rules_are_reachable_through_their_keywords():
         assert licenses._spellings(keyword), label
 
 
+def sample(rng, parsed):
+    """A random match of a parsed regex."""
+    out = ""
+    for op, arg in parsed:
+        match str(op):
+            case "LITERAL":
+                out += chr(arg)
+            case "BRANCH":
+                out += sample(rng, rng.choice(arg[1]))
+            case "SUBPATTERN":
+                out += sample(rng, arg[-1])
+            case "MAX_REPEAT":
+                out += "".join(sample(rng, arg[2]) for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 1))))
+            case "IN":
+                kind, value = rng.choice(arg)
+                out += chr(value) if str(kind) == "LITERAL" else {"CATEGORY_SPACE": " ", "CATEGORY_DIGIT": "7"}[str(value)] if str(kind) == "CATEGORY" else chr(value[0])
+            case "ASSERT_NOT":
+                pass
+            case _:
+                raise AssertionError(op)
+    return out
+
+
+def test_every_match_of_a_rule_holds_its_keyword():
+    rng = random.Random(4)
+    head, tail = licenses._bounded("|").split("|", 1)
+    missed = set()
+    for _, label, keyword, regex in licenses.rules():
+        assert regex.startswith(head) and regex.endswith(tail)
+        inner = regex[len(head) : -len(tail)]
+        for _ in range(60):
+            text = sample(rng, re._parser.parse(inner))
+            if not set(PLAIN.findall(lower(text))) & set(licenses._spellings(keyword)):
+                missed.add((label, text))
+    assert not missed
+
+
+def test_licences_found_by_their_own_words(spark):
+    texts = {"unlicense": "the Unlicense", "licensed": "It is released under the terms of the", "commercial": "noncommercial use", "no-ai": "may not be used to train", "wtfpl": "Do What the Fuck You Want to Public License", "php": "PHP License3.0"}
+    got = {r.doc_id: r.labels for r in licenses.scan(frame(spark, list(enumerate(texts.values())))).collect()}
+    assert all(label in got[i] for i, label in enumerate(texts))
+
+
 # --- neighbours
 
 
