@@ -10,8 +10,8 @@ from swelter.operators import backtest as bt
 from swelter.plans.registry import query
 from swelter.plans.statistics import NEED, SEASON, r
 
-#: Origins of the correctness queries; the operator's default is the full range.
-ORIGINS = range(2009, 2018)
+#: Origins of the queries and their SQL: the full range, as in the operator.
+ORIGINS = range(2009, 2025)
 
 _ONE = "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY location_id, date ORDER BY CASE WHEN source = 'isd' THEN 0 ELSE 1 END, wetbulb DESC, wetbulb_avg DESC, source) AS rk FROM {dense_daily}) WHERE rk = 1)"
 ANNUAL = f"""SELECT location_id, year, season, CAST(dp AS INT) AS days_present, CASE WHEN dp >= 0.95 * {NEED} THEN a1 END AS avg_wetbulb, CASE WHEN dp >= 0.95 * {NEED} THEN m1 END AS max_wetbulb,
@@ -70,7 +70,7 @@ def _(t):
     return _cases(t, True).withColumns({c: rounded(c, 6) for c in _FIVE})
 
 
-GATES = range(2012, 2018)
+GATES = range(2012, 2025)
 FACTORS = f"""gates AS (SELECT CAST(unnest(generate_series({GATES[0]}, {GATES[-1]})) AS INT) AS gate),
     kn AS (SELECT * FROM (SELECT gate, metric, abs(actual - gmst) / greatest(margin, 2.220446049250313e-16) AS score, row_number() OVER (PARTITION BY gate, station_group, origin, year, metric ORDER BY location_id) AS rk
         FROM ca JOIN gates ON origin < gate AND year <= gate WHERE season = 'Annual') WHERE rk = 1),

@@ -43,3 +43,12 @@ def test_query_equals_its_sql(spark, duck, name):
 
 def test_every_oracle_has_a_query():
     assert set(registry.ORACLES) <= set(registry.QUERIES) and len(registry.QUERIES) > 80
+
+
+def test_backtest_queries_take_the_whole_range(spark):
+    from swelter.plans import backtests
+
+    assert (list(backtests.ORIGINS), list(backtests.GATES)) == (list(range(2009, 2025)), list(range(2012, 2025)))
+    if os.path.isdir(DIR):
+        origins = {r.origin for r in registry.QUERIES["b2_backtest_cases"](spark, DIR).select("origin").distinct().collect()}
+        assert origins == set(range(2009, 2025))
