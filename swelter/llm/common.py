@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Texts are hashed in slices of at most this many bytes (one longer text makes a slice of its own).
 SLICE_BYTES = 512 << 10
+#: Rows cross to Python in batches of about this many bytes (one longer row makes a batch of its own).
+BATCH_BYTES = 4 << 20
 
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -28,15 +30,30 @@ PLAIN_WORDS = np.zeros(256, bool)
 PLAIN_WORDS[0x30:0x3A] = PLAIN_WORDS[0x41:0x5B] = PLAIN_WORDS[0x61:0x7B] = PLAIN_WORDS[0x80:] = True
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only in local mode, where one machine does all."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="spark-shared-")
+
+
 def durable(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage through files in the shared checkpoint folder; a folder of its own only where none is set."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    """Cut the lineage through files in the shared folder, so that the result outlives executors."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """Sees to it that Arrow batches are bounded by bytes, not only by rows, so that long texts do not pile up in a worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -15,21 +15,16 @@ repeated documents each get their row; extra columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swelter.llm.common import PLAIN_WORDS, Words, durable, in_sorted, selected, slices, text_buffer, text_key
+from swelter.llm.common import PLAIN_WORDS, Words, durable, in_sorted, selected, slices, small_batches, text_buffer, text_key
 
 WINDOW, GRAM = 10, 5
 BROADCAST_BYTES = 32 << 20
 
-SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-
 
 class ItemIndex:
     """Windows of the items by length, as sorted hashes with the items of each, and the fingerprints of full windows."""
@@ -86,10 +81,6 @@ def covered(starts: np.ndarray, lengths: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
-def _digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
-
-
 def decontaminate_text(data: np.ndarray, offsets: np.ndarray, index: ItemIndex) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
     """Words, hit words and item ids (as strings) of each text."""
     n_words, n_hit, found = [], [], []
@@ -111,41 +102,37 @@ def decontaminate_text(data: np.ndarray, offsets: np.ndarray, index: ItemIndex)
     return np.concatenate(n_words or none), np.concatenate(n_hit or none), found
 
 
-def _batch(b: pa.RecordBatch, extra: int, columns: list[str], n_words, n_hit, names: list[list[str]]) -> pa.RecordBatch:
-    """Results beside the ids and the columns of the batch from ``extra`` on."""
-    return pa.RecordBatch.from_arrays(
-        [b.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(x) for x in names], pa.int64()), pa.array([_digest(x) for x in names], pa.string()), pa.array(np.asarray(n_hit) > 0, pa.bool_()), *b.columns[extra:]],
-        ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *columns],
-    )
+_FOUND = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string()))])
+_FOUND_SQL = "struct<n_words:long,n_hit:long,items:array<string>>"
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, columns: tuple[str, ...] = (), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, and ``columns`` of the input."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(f"_{c}") for c in columns))
-    types = {f.name[1:]: f.dataType.simpleString() for f in docs.schema.fields[2:]}
-    schema = SCHEMA + "".join(f", `_{c}` {t}" for c, t in types.items())
-    out = _decontaminated(docs, benchmark, schema, broadcast_bytes)
-    return out.select(*(x.split()[0] for x in SCHEMA.split(", ")), *(F.col(f"_{c}").alias(c) for c in columns))
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col(c).alias(f"_{c}") for c in columns))
+    found = _found(docs, benchmark, broadcast_bytes)
+    hit, items = F.coalesce("found.n_hit", F.lit(0).cast("long")), F.coalesce("found.items", F.array().cast("array<string>"))
+    digest = F.sha2(F.array_join(F.array_sort(items), ","), 256)
+    return found.select("doc_id", F.col("found.n_words").alias("n_words"), hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), digest.alias("items_sha256"), (hit > 0).alias("contaminated"), *(F.col(f"_{c}").alias(c) for c in columns))
 
 
-def _decontaminated(docs: DataFrame, benchmark: DataFrame, schema: str, broadcast_bytes: int) -> DataFrame:
+def _found(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """The documents with ``found``: words, hit words and items of each."""
     items = benchmark.select("item_id", "text").where("item_id is not null and text is not null and text <> ''")
     if (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > broadcast_bytes:
-        return _by_shuffle(docs, items, schema)
+        return _by_shuffle(docs, items)
     index = docs.sparkSession.sparkContext.broadcast(ItemIndex([tuple(r) for r in items.collect()]))  # of a checked size
 
-    carried = docs.columns[2:]
+    @F.arrow_udf(_FOUND_SQL)
+    def search(text: pa.Array) -> pa.Array:
+        n_words, n_hit, names = decontaminate_text(*text_buffer(text), index.value)
+        return pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(names, pa.list_(pa.string()))], fields=list(_FOUND))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield _batch(b, 2, carried, *decontaminate_text(*text_buffer(b.column(1)), index.value))
-
-    return docs.mapInArrow(run, schema)
+    return docs.withColumn("found", search("text"))
 
 
-def _by_shuffle(docs: DataFrame, items: DataFrame, schema: str) -> DataFrame:
+def _by_shuffle(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The same for a benchmark of any size: fingerprints and windows meet in equi-joins, documents by the key of their text."""
-    span, carried = WINDOW - GRAM + 1, docs.columns[2:]
+    span = WINDOW - GRAM + 1
 
     def item_rows(batches):
         for b in batches:
@@ -195,14 +182,14 @@ def _by_shuffle(docs: DataFrame, items: DataFrame, schema: str) -> DataFrame:
     spans = texts.join(near, ["k1", "k2"]).mapInArrow(extend, "k1 long, k2 long, n int, h long, at long")
     hits = spans.join(rows.where("n > 0"), ["n", "h"]).groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "n")).alias("spans"), F.sort_array(F.collect_set("item")).alias("items"))
 
-    def count(batches):
-        for b in batches:
-            data, offsets = text_buffer(b.column(1))
-            n_words = np.concatenate([Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], PLAIN_WORDS).counts for i, j in slices(offsets)] or [np.zeros(0, np.int64)])
-            n_hit = []
-            for n, own in zip(n_words.tolist(), b.column(2).to_pylist(), strict=True):
-                own = own or []
-                n_hit.append(int(covered(np.array([x["at"] for x in own], np.int64), np.array([x["n"] for x in own], np.int64), n).sum()))
-            yield _batch(b, 4, carried, n_words, n_hit, [x or [] for x in b.column(3).to_pylist()])
-
-    return keyed.join(hits, ["k1", "k2"], "left").select("doc_id", "text", "spans", "items", *docs.columns[2:]).mapInArrow(count, schema)
+    @F.arrow_udf(_FOUND_SQL)
+    def count(text: pa.Array, spans: pa.Array, names: pa.Array) -> pa.Array:
+        data, offsets = text_buffer(text)
+        n_words = np.concatenate([Words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], PLAIN_WORDS).counts for i, j in slices(offsets)] or [np.zeros(0, np.int64)])
+        n_hit = []
+        for n, own in zip(n_words.tolist(), spans.to_pylist(), strict=True):
+            own = own or []
+            n_hit.append(int(covered(np.array([x["at"] for x in own], np.int64), np.array([x["n"] for x in own], np.int64), n).sum()))
+        return pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), names.cast(pa.list_(pa.string()))], fields=list(_FOUND))
+
+    return keyed.join(hits, ["k1", "k2"], "left").withColumn("found", count("text", "spans", "items"))

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swelter.llm.common import durable, mixed, parallelism, text_buffer
+from swelter.llm.common import durable, mixed, parallelism, small_batches, text_buffer
 from swelter.llm.components import components
 from swelter.llm.minhash import SHINGLE, block_keys, shingle_sets, signature
 
@@ -133,12 +133,16 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(common, pa.int64()), pa.array(np.array(total, np.int64) - np.array(common, np.int64))], ["a", "b", "common", "together"])
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 class NearDuplicates:
     """The steps above over one table; ``result`` has a row per document row."""
 
     def __init__(self, docs: DataFrame, size: int = SHINGLE):
         self.size = size
-        self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("k"), "text")
+        self.texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("k"), "text")
         self.rows = durable(self.texts.mapInArrow(lambda it: _summary(it, size), "doc_id long, k long, n int, cid long, check long, sig binary"))
         named = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "k", "sig")
         self.classes = durable(self.rows.where("n > 0").groupBy("cid", "check", "n").agg(F.min(named).alias("m")).select("cid", "n", "m.doc_id", "m.k", "m.sig"))
@@ -166,7 +170,8 @@ class NearDuplicates:
         seen = whole.select("a", "b", "x", "y").mapInArrow(_overlap, "a long, b long, common long, together long")
         return durable(seen.where(F.expr(f"{den} * common >= {num} * together")).select("a", "b"))
 
-    def result(self) -> DataFrame:
+    def placed(self) -> DataFrame:
+        """doc_id, k (the hash of the text), n_shingles, component_id, kept for every document row."""
         pairs, members = self.candidates()
         links = self.links(pairs)
         roots = components(links)
@@ -175,9 +180,17 @@ class NearDuplicates:
         node = self.classes.select("cid", "doc_id").join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
         first = node.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         named = node.join(first, "root").select(F.col("cid").alias("c"), "component_id")
-        out = self.rows.select("doc_id", "n", "cid").join(named, (F.col("cid") == F.col("c")) & (F.col("n") > 0), "left")
+        out = self.rows.select("doc_id", "k", "n", "cid").join(named, (F.col("cid") == F.col("c")) & (F.col("n") > 0), "left")
         component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-        return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+        return out.select("doc_id", "k", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+    def result(self) -> DataFrame:
+        return self.placed().drop("k")
+
+    def first_texts(self) -> DataFrame:
+        """doc_id and k of one text of each component: that of the smallest doc_id, then of the smallest k. Null ids take no part."""
+        rows = self.placed().where("doc_id is not null")
+        return rows.groupBy("component_id", F.col("n_shingles") > 0).agg(F.min(F.struct("doc_id", "k")).alias("m")).select("m.*")
 
     def _rest(self, members: DataFrame, roots: DataFrame) -> DataFrame:
         """Step 5: links between the components that meet in large buckets, one at least for each class and component."""

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swelter.llm.common import durable, parallelism, text_buffer
+from swelter.llm.common import durable, parallelism, small_batches, text_buffer
 
 LENGTH, END_ID, NEARLY, FAN_IN, HELD = 1024, 2, 1.0, 8, 200_000
 
@@ -129,7 +129,7 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, *, length:
         if held:
             yield _packed(held, ids, length, nearly)
 
-    bins = durable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(first, BIN_SCHEMA))
+    bins = durable(small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(first, BIN_SCHEMA))
     done, level, width = [bins.where("final")], 0, bins.rdd.getNumPartitions()
     rest = bins.where("not final")
     before = rest.count()

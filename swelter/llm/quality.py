@@ -12,7 +12,6 @@ With one class missing, every score is the share of the other (0.5 with no label
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swelter.llm.common import BLANK_WORDS, Words, durable, slices, text_buffer
+from swelter.llm.common import BLANK_WORDS, Words, durable, slices, small_batches, text_buffer
 
 FEATURES = ("length", "words", "word_length", "upper", "digit", "mark", "sentence_mark", "line", "non_ascii", "distinct", "marked_word", "repeated_pair")
 SHRINK, RIDGE, THRESHOLD = 0.3, 0.05, 0.3
@@ -71,6 +70,14 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _forward(factor: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The solution of factor @ z = b for a lower triangular factor, by forward substitution."""
+    z = np.empty_like(b)
+    for k in range(len(factor)):
+        z[k] = (b[k] - factor[k, :k] @ z[:k]) / factor[k, k]
+    return z
+
+
 @dataclass
 class Discriminant:
     """Means, Cholesky factors and log determinants of both classes, and the log prior odds of class 1."""
@@ -85,7 +92,7 @@ class Discriminant:
             return np.full(len(x), 1 / (1 + np.exp(-self.odds)))
         log = []
         for mean, factor, logdet in zip(self.means, self.factors, self.logdets, strict=True):
-            z = np.linalg.solve(factor, (x - mean).T)
+            z = _forward(factor, (x - mean).T)
             log.append(-0.5 * (z * z).sum(0) - 0.5 * logdet)
         return 1 / (1 + np.exp(-np.clip(log[1] - log[0] + self.odds, -500, 500)))
 
@@ -119,7 +126,7 @@ def featurize(docs: DataFrame) -> DataFrame:
             x = statistics(*text_buffer(b.column(1)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))], ["doc_id", "x"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, x array<double>")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, x array<double>")
 
 
 def fit(features: DataFrame, labels: DataFrame, *, label: str = "quality", shrink: float = SHRINK, ridge: float = RIDGE) -> Discriminant:
@@ -145,19 +152,15 @@ def fit(features: DataFrame, labels: DataFrame, *, label: str = "quality", shrin
     return discriminant(got[:, 0], got[:, 1 : 1 + size], got[:, 1 + size :].reshape(2, size, size), shrink, ridge)
 
 
-def score(docs: DataFrame, model: Discriminant, *, columns: tuple[str, ...] = (), threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, score and predicted for each document, with ``columns`` of the input carried along."""
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("scored"), *columns)
-    names = ["doc_id", "score", "predicted", *columns]
-    types = {f.name: f.dataType.simpleString() for f in kept.schema}
+def score(docs: DataFrame, model: Discriminant) -> DataFrame:
+    """The documents with their ``score``; only the text goes to Python and only the score comes back."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            s = sent.value.scores(statistics(*text_buffer(b.column(1))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32)), *b.columns[2:]], names)
+    @F.arrow_udf("double")
+    def scored(text: pa.Array) -> pa.Array:
+        return pa.array(sent.value.scores(statistics(*text_buffer(text))))
 
-    return kept.mapInArrow(run, "doc_id long, score double, predicted int" + "".join(f", `{c}` {types[c]}" for c in columns))
+    return small_batches(docs).withColumn("score", scored("text"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from swelter.llm.common import byte_sums, durable, parallelism, selected, slices, span_hashes, text_buffer, text_key, window_minima
+from swelter.llm.common import byte_sums, durable, parallelism, selected, slices, small_batches, span_hashes, text_buffer, text_key, window_minima
 from swelter.llm.run_index import RunIndex
 
 LENGTH, GRAM, BLOCK, LARGE = 400, 32, 1 << 17, 900_000
@@ -57,11 +57,11 @@ def contexts(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram:
     return row[first], anchor, span_hashes(sums, first, end), first - offsets[row[first]], end - first, twice
 
 
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _listed(batches: Iterator[pa.RecordBatch], length: int = LENGTH, gram: int = GRAM) -> Iterator[pa.RecordBatch]:
     for b in batches:
         data, offsets = text_buffer(b.column(3))
         for i, j in slices(offsets):
-            row, anchor, bytes_hash, start, size, twice = contexts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+            row, anchor, bytes_hash, start, size, twice = contexts(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], length, gram)
             if len(row):
                 own = pa.array(row + i)
                 yield pa.RecordBatch.from_arrays([*(b.column(k).take(own) for k in range(3)), pa.array(anchor.astype(np.int64)), pa.array(bytes_hash.astype(np.uint64).view(np.int64)), pa.array(start.astype(np.int32)), pa.array(size.astype(np.int32)), pa.array(twice.astype(bool))], ["doc_id", "k1", "k2", "anchor", "hash", "start", "size", "twice"])
@@ -168,11 +168,11 @@ def _cut(batches: Iterator[pa.RecordBatch], carried: tuple[str, ...] = (), keep:
         yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(columns, types, strict=True)), *b.columns[3:]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", *carried])
 
 
-def repeats(docs: DataFrame) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """k1, k2 (the key of a text) and the spans (s, e) of bytes that repeat, gathered per text."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text")), "text")
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text")), "text")
     width = parallelism(docs.sparkSession)
-    rows = texts.mapInArrow(_listed, "doc_id long, k1 long, k2 long, anchor long, hash long, start int, size int, twice boolean")
+    rows = texts.mapInArrow(lambda it: _listed(it, length, gram), "doc_id long, k1 long, k2 long, anchor long, hash long, start int, size int, twice boolean")
     anchor, context = Window.partitionBy("anchor"), Window.partitionBy("anchor", "hash")
     counted = rows.repartition(max(width, rows.rdd.getNumPartitions()), "anchor").select(
         *rows.columns,
@@ -189,26 +189,26 @@ def repeats(docs: DataFrame) -> DataFrame:
     found = texts.join(wanted, same).select("k1", "k2", "text", "wanted").mapInArrow(_fetched, "k1 long, k2 long, anchor long, start int, large boolean, bytes binary")
     found = durable(found)
     dealt = found.where("not large").repartition(max(width, found.rdd.getNumPartitions()), "anchor").sortWithinPartitions("anchor")
-    indexed = dealt.mapInArrow(_indexed, "k1 long, k2 long, s long, e long")
-    hashed = found.where("large").mapInArrow(_windows, "k1 long, k2 long, at long, h long").distinct()
-    again = hashed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("n > 1").select("k1", "k2", F.col("at").alias("s"), (F.col("at") + LENGTH).alias("e"))
+    indexed = dealt.mapInArrow(lambda it: _indexed(it, length), "k1 long, k2 long, s long, e long")
+    hashed = found.where("large").mapInArrow(lambda it: _windows(it, length), "k1 long, k2 long, at long, h long").distinct()
+    again = hashed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("n > 1").select("k1", "k2", F.col("at").alias("s"), (F.col("at") + length).alias("e"))
     marks = wholly.union(indexed).union(again)
     return marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "e")).alias("marks"))
 
 
-def _joined(docs: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+def _joined(docs: DataFrame, columns: tuple[str, ...], length: int = LENGTH) -> DataFrame:
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *text_key(F.col("text")), *columns)
-    return keyed.join(repeats(docs), ["k1", "k2"], "left")
+    return keyed.join(repeats(docs, length), ["k1", "k2"], "left")
 
 
 _OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string"
 
 
-def remove_repeats(docs: DataFrame, *, columns: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, the text that is left, and ``columns`` of the input.
+def remove_repeats(docs: DataFrame, *, columns: tuple[str, ...] = (), length: int = LENGTH) -> DataFrame:
+    """Without every string of ``length`` bytes that stands twice: doc_id, n_bytes, n_removed, n_spans, kept_sha256, the text that is left, and ``columns`` of the input.
 
     A character of which some bytes are removed goes whole."""
-    rows = _joined(docs, columns).select("doc_id", "text", "marks", *columns)
+    rows = _joined(docs, columns, length).select("doc_id", "text", "marks", *columns)
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
     return rows.mapInArrow(lambda it: _cut(it, columns, True), _OUT + "".join(f", `{c}` {types[c]}" for c in columns))
 

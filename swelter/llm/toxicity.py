@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swelter.llm.common import PLAIN_WORDS, Words, in_sorted, slices, text_buffer
+from swelter.llm.common import PLAIN_WORDS, Words, in_sorted, slices, small_batches, text_buffer
 from swelter.llm.quality import fold
 
 SAMPLE, FEATURES, MIN_DOCS, MIN_Z, TELLING_Z, CUT = 20_000, 4096, 3, 2.5, 3.5, 0.3
@@ -91,7 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
                     yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[r].as_py()], pa.int32()), pa.array([int(w.counts[r - i])], pa.int64()), pa.array([h.view(np.int64)], pa.list_(pa.int64())), pa.array([n.astype(np.int32)], pa.list_(pa.int32()))], ["y", "size", "h", "n"])
 
     # the sample has a fixed bound, so its ids can be broadcast and no text is shuffled
-    bags = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("y", "text").mapInArrow(words, "y int, size long, h array<long>, n array<int>").persist()
+    bags = small_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("y", "text").mapInArrow(words, "y int, size long, h array<long>, n array<int>").persist()
     total = {r["y"]: r["d"] for r in bags.groupBy("y").agg(F.count("*").alias("d")).collect()}
     if not total.get(0) or not total.get(1):
         bags.unpersist()

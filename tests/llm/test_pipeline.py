@@ -10,7 +10,6 @@ from test_text_operators import leaks_expected, near_expected
 from texts import corpus, words
 
 import corpus_pipeline
-from swelter.llm import repeated_bytes
 
 COLUMNS = list(corpus_pipeline.COLUMNS)
 
@@ -48,12 +47,12 @@ def test_stages(spark, base):
     left = {r.doc_id for r in after}
     assert len(bad & left) <= 3 and len(set(range(260)) - bad - left) <= 3
     before, after = kept["near_duplicates"]
-    want = {i for i, _, _, stays in near_expected(before) if stays and i is not None}
+    want = {i for i, _, _, stays in near_expected(before, corpus_pipeline.SHINGLE) if stays and i is not None}
     assert sorted(r.doc_id for r in after if r.doc_id is not None) == sorted(want)
     assert sum(r.doc_id is None for r in after) == sum(i is None for i, _ in before)
     before, after = kept["repeated_bytes"]
     texts = [(t or "").encode() for _, t in before]
-    n = repeated_bytes.LENGTH
+    n = corpus_pipeline.REPEATED
     count = collections.Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))
     cut = []
     for (doc, _), t in zip(before, texts):

@@ -47,11 +47,11 @@ def test_components(spark):
 # --- near-duplicates
 
 
-def near_expected(rows):
+def near_expected(rows, size=2):
     sets = []
     for _, t in rows:
         w = BLANK.findall(lower(t))
-        sets.append(set(zip(w, w[1:])) if len(w) > 1 else {tuple(w)} if w else set())
+        sets.append(set(zip(*(w[k:] for k in range(size)))) if len(w) >= size else {tuple(w)} if w else set())
     root = list(range(len(rows)))
 
     def find(a):
