@@ -7,47 +7,43 @@ return the columns of ``documents``. Repeated rows of one document are one docum
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from swelter.llm.common import read_table
+from swelter.llm.common import read_table, shared_folder
 from swelter.llm.decontamination import decontaminate
-from swelter.llm.near_dedup import near_duplicates
+from swelter.llm.near_dedup import NearDuplicates, text_hash
 from swelter.llm.packing import pack
-from swelter.llm.quality import featurize, fit, score
+from swelter.llm.quality import THRESHOLD, featurize, fit, score
 from swelter.llm.queries import tokenizer_files
 from swelter.llm.repeated_bytes import remove_repeats
 
+#: Words of a shingle of near-duplicates; bytes of a repeated string, of which passages of 50 words have more (5.9 bytes a word).
+SHINGLE, REPEATED = 5, 240
+
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     model = fit(featurize(docs), read_table(spark, sf_dir, "labels"))
-    kept = score(docs, model, columns=("text", *COLUMNS[2:])).where("predicted = 1")
-    return kept.select(*COLUMNS)
-
-
-def _one_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """One row of each document in ``ids``; rows without an id cannot be told apart and all stay."""
-    kept = docs.join(ids.distinct(), "doc_id", "left_semi").select(*COLUMNS)
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("n_chars"))
-    kept = kept.withColumn("_row", first).where("_row = 1").select(*COLUMNS)
-    return kept.unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    return score(docs.select(*COLUMNS), model).where(F.col("score") >= THRESHOLD).select(*COLUMNS)
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id")
-    return _one_each(docs, kept)
+    """One text of each group of near-duplicates, that of the smallest doc_id; rows without an id cannot be told apart and all stay."""
+    chosen = NearDuplicates(docs, size=SHINGLE).first_texts()
+    rows = docs.select(*COLUMNS).withColumn("k", text_hash())
+    once = F.row_number().over(Window.partitionBy("doc_id", "k").orderBy("n_chars", "lang", "source"))
+    kept = rows.join(chosen, ["doc_id", "k"], "left_semi").withColumn("once", once).where("once = 1").select(*COLUMNS)
+    return kept.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def no_repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the strings of 400 bytes that stand more than once."""
-    cut = remove_repeats(docs, columns=("lang", "source"))
+    """Every document without the strings of ``REPEATED`` bytes that stand more than once."""
+    cut = remove_repeats(docs, columns=("lang", "source"), length=REPEATED)
     return cut.select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
 
 
@@ -76,8 +72,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the tables between them go to the shared checkpoint folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-pipeline-")
-    base = os.path.join(shared, f"pipeline-{uuid.uuid4().hex}")
+    base = os.path.join(shared_folder(spark), f"pipeline-{uuid.uuid4().hex}")
     docs = read_table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(path := f"{base}/{k}_{name}")
