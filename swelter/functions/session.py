@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a folder of our own only where none is set."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that the cluster names in spark.checkpoint.dir; one of our own only in local mode, where one machine does all."""
+    sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named:
         return named
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
+    if sc.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
     return sc.getCheckpointDir()
 
 
