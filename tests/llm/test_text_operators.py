@@ -322,3 +322,45 @@ def test_fuzzy_passages_beside_a_hub_that_has_only_the_seeds(spark):
     got = fuzzy(spark, rows)
     assert set(got) == {1, 2} and got[1].partners == [2]
     assert [tuple(s) for s in got[1].spans] == [(10, 70)]
+
+
+@pytest.mark.parametrize(("size", "times"), [(27, 3), (20, 4), (20, 6), (40, 2)])
+def test_fuzzy_passages_of_short_repeated_lines(spark, size, times):
+    """Three texts that share a passage made of one line, and nothing else."""
+    fresh = fresh_words(10 + size + times)
+    passage = fresh(size) * times
+    rows = [(i, " ".join(fresh(10 * i) + passage + fresh(30))) for i in (1, 2, 3)]
+    got = fuzzy(spark, rows)
+    assert [[tuple(s) for s in got[i].spans] for i in (1, 2, 3)] == [[(10 * i, 10 * i + size * times)] for i in (1, 2, 3)]
+
+
+def test_fuzzy_passages_with_words_put_in(spark):
+    fresh = fresh_words(11)
+    passage = fresh(120)
+    longer = [x for k, w in enumerate(passage) for x in ([w, fresh(1)[0]] if k % 8 == 7 else [w])]
+    got = fuzzy(spark, [(1, " ".join(fresh(30) + passage + fresh(30))), (2, " ".join(fresh(50) + longer + fresh(20)))])
+    assert [tuple(s) for s in got[1].spans] == [(30, 150)] and [tuple(s) for s in got[2].spans] == [(50, 184)]
+
+
+def test_fuzzy_passages_leave_a_common_line(spark):
+    """A line of 30 words in many texts is no passage, two of them beside each other in some texts are one."""
+    fresh = fresh_words(12)
+    one, two = fresh(30), fresh(30)
+    rows = [(i, " ".join(fresh(20) + one + fresh(40) + two + fresh(5))) for i in range(60)]
+    rows += [(1000 + i, " ".join(fresh(15) + one + two + fresh(20))) for i in range(25)]
+    rows += [(2000, ""), (2001, " ".join(["of"] * 80)), (2002, " ".join(fresh(30) + ["of"] * 70 + fresh(30))), (2003, " ".join(["of"] * 20))]
+    got = fuzzy(spark, rows)
+    assert set(got) == {2001, 2002} | {1000 + i for i in range(25)}
+    assert all([tuple(s) for s in got[1000 + i].spans] == [(15, 75)] for i in range(25))
+
+
+@pytest.mark.parametrize("held", [fuzzy_passages.HELD, 8])
+def test_matches_in_parts_are_those_of_the_whole(monkeypatch, held):
+    monkeypatch.setattr(fuzzy_passages, "HELD", held)
+    rng = np.random.default_rng(0)
+    rows = sorted({(int(rng.integers(0, 3)), int(rng.integers(0, 40)), int(rng.integers(0, 50))) for _ in range(400)})
+    batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[i : i + 7])], ["seed", "k", "at"]) for i in range(0, len(rows), 7)]
+    met = [r for b in fuzzy_passages._matches(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns))]
+    hub = {s: min(k for t, k, _ in rows if t == s) for s in range(3)}
+    assert {(a, b, x, s) for a, b, x, y, s in met if s is not None} == {(k, hub[s], at, s) for s, k, at in rows if k != hub[s]}
+    assert {(a, x) for a, b, x, y, s in met if s is None} == {(k, at) for s, k, at in rows if k != hub[s]}
