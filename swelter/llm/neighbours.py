@@ -3,11 +3,12 @@
 Every vector has one long hash string per tree: the signs of its products with ``BITS`` random directions. A shard of the
 vectors keeps, for each tree, the sorted array of its strings. A query descends each tree to its longest-prefix matches by
 binary search, then climbs all trees together, one bit at a time, until the prefixes it stands on hold at least
-``SHARE`` of the shard; the vectors under them are ranked by their exact distance. The best of every shard are merged.
+``SHARE`` of the shard; the vectors under them, and no others, are ranked by their exact distance. The best of every shard are merged.
 
-Shards have about ``SHARD_ROWS`` vectors and meet the stated query set in blocks of ``QUERY_ROWS``, so neither a hot vector
-nor a large table makes a task larger. ``SHARE`` is what isotropic 64-dimensional data needs for a recall above 0.9; data
-with structure reaches it with less.
+Shards have about ``SHARD_ROWS`` vectors and are built once; the stated query set streams past each in batches, so neither a hot
+vector nor a large table makes a task larger. ``SHARE`` is what isotropic 64-dimensional data needs for a recall above 0.9 in
+shards of a few hundred to eight thousand vectors; data with structure reaches it with less. Every query meets every shard, so
+the work grows with queries times vectors.
 
 Vectors that are null, all zero, or hold a null or non-finite number take no part, nor do rows without an id or vectors of
 another dimension than most; exact repeats of a row count once. Fewer candidates than asked for are all returned. Extra
@@ -16,12 +17,18 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-TREES, BITS, SHARE, SHARD_ROWS, QUERY_ROWS, NEAREST = 24, 32, 0.4, 8192, 4096, 10
+from swelter.llm.common import parallelism
+
+TREES, BITS, SHARE, SHARD_ROWS, NEAREST = 24, 32, 0.6, 8192, 10
+#: Queries ranked at a time.
+QUERY_ROWS = 256
 
 
 def matrix(col: pa.Array) -> np.ndarray:
@@ -66,6 +73,23 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["id", "v"])
 
 
+def _nearest(forest: Forest, ids: np.ndarray, x: np.ndarray, centre: np.ndarray, q_ids: np.ndarray, q: np.ndarray, nearest: int, least: int):
+    """Query id, vector id and distance of the nearest candidates of each query."""
+    out = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
+    strings = forest.strings(q - centre)
+    for k in range(len(q)):
+        c = forest.candidates(strings[:, k], least)
+        c = c[ids[c] != q_ids[k]]
+        gap = x[c] - q[k]
+        d = np.sqrt((gap * gap).sum(1))
+        if len(c) > nearest:
+            near = d <= np.partition(d, nearest - 1)[nearest - 1]
+            c, d = c[near], d[near]
+        best = np.lexsort((ids[c], d))[:nearest]
+        out.append((np.full(len(best), q_ids[k]), ids[c[best]], d[best]))
+    return [np.concatenate(v) for v in zip(*out, strict=True)]
+
+
 def search(vectors: DataFrame, *, every: int = 100, nearest: int = NEAREST, trees: int = TREES, bits: int = BITS, share: float = SHARE, shard_rows: int = SHARD_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score for the queries, the rows whose id is divisible by ``every``."""
     rows = usable(vectors)
@@ -73,32 +97,41 @@ def search(vectors: DataFrame, *, every: int = 100, nearest: int = NEAREST, tree
     if dims is None:
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     rows = rows.where(F.size("v") == dims["d"])
-    shards, blocks = -(-dims["count"] // shard_rows), -(-dims["count"] // (every * query_rows))
+    shards = -(-dims["count"] // shard_rows)
     place = F.pmod(F.xxhash64("id", "v"), F.lit(1 << 40))
-    base = rows.withColumns({"shard": place % shards, "block": F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))})
-    asked = rows.where(F.col("id") % every == 0).withColumns({"block": (place % blocks).cast("int"), "shard": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))})
-
-    def near(own: pa.Table, queries: pa.Table) -> pa.Table:
-        out = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),)]
-        if own.num_rows and queries.num_rows:
-            ids, x = own["id"].to_numpy(), matrix(own["v"].combine_chunks())
-            centre = x.mean(0)
-            forest = Forest(x - centre, trees, bits)
-            q_ids, q = queries["id"].to_numpy(), matrix(queries["v"].combine_chunks())
-            strings = forest.strings(q - centre)
-            squares = (x * x).sum(1)
-            for k in range(len(q)):
-                c = forest.candidates(strings[:, k], min(len(ids), max(nearest + 1, int(np.ceil(share * len(ids))))))
-                c = c[ids[c] != q_ids[k]]
-                if len(c) > nearest:  # only those that rounding leaves in the running get the exact distance
-                    rough = (squares - 2 * (x @ q[k]))[c]
-                    c = c[rough <= np.partition(rough, nearest - 1)[nearest - 1] + 1e-9 * (squares.max() + q[k] @ q[k])]
-                gap = x[c] - q[k]
-                d = np.sqrt((gap * gap).sum(1))
-                best = np.lexsort((ids[c], d))[:nearest]
-                out.append((np.full(len(best), q_ids[k]), ids[c[best]], d[best]))
-        return pa.table([np.concatenate(x) for x in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
-
-    found = base.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(near, "query_id long, vec_id long, score double")
+    own = rows.withColumns({"shard": place % shards, "asked": F.lit(False)})
+    asked = rows.where(F.col("id") % every == 0).withColumns({"shard": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))), "asked": F.lit(True)})
+    width = max(parallelism(vectors.sparkSession), min(shards, 4096))
+    dealt = own.unionByName(asked).repartition(width, "shard").sortWithinPartitions("shard", "asked")
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A shard's own vectors come first, then the queries, which are answered as they come."""
+        now, held, built = None, [], None
+        for b in batches:
+            i = 0
+            shard, is_asked = b.column(2).to_numpy(), b.column(3).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero((np.diff(shard) != 0) | (is_asked[1:] != is_asked[:-1])) + 1
+            for j in [*edges.tolist(), b.num_rows]:
+                part, i = b.slice(i, j - i), j
+                if not part.num_rows:
+                    continue
+                ids, x = part.column(0).to_numpy(), matrix(part.column(1))
+                if part.column(2)[0].as_py() != now:
+                    now, held, built = part.column(2)[0].as_py(), [], None
+                if not part.column(3)[0].as_py():
+                    held.append((ids, x))
+                    continue
+                if not held:
+                    continue
+                if built is None:
+                    own_ids, own_x = (np.concatenate(v) for v in zip(*held, strict=True))
+                    centre = own_x.mean(0)
+                    built = Forest(own_x - centre, trees, bits), own_ids, own_x, centre
+                least = min(len(built[1]), max(nearest + 1, int(np.ceil(share * len(built[1])))))
+                for k in range(0, len(ids), query_rows):
+                    found = _nearest(*built, ids[k : k + query_rows], x[k : k + query_rows], nearest, least)
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in found], ["query_id", "vec_id", "score"])
+
+    found = dealt.select("id", "v", "shard", "asked").mapInArrow(near, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")

@@ -157,6 +157,21 @@ def test_neighbours(spark):
     assert neighbours.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_neighbours_of_isotropic_vectors_in_several_shards(spark):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((1500, 64))
+    rows = [(i, [float(v) for v in x[i]]) for i in range(1500)] + [(7, [float(v) for v in x[7]])]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=50, shard_rows=400, query_rows=7).collect()
+    hits = 0
+    for q in range(0, 1500, 50):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        mine = sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)
+        assert [r.rank for r in mine] == list(range(1, 11)) and all(abs(r.score - d[r.vec_id]) < 1e-12 for r in mine)
+        hits += len({r.vec_id for r in mine} & set(np.argsort(d)[:10].tolist()))
+    assert hits / 300 >= 0.9
+
+
 # --- quality and toxicity
 
 
