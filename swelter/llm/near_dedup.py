@@ -6,11 +6,10 @@
    exactly 0.8 a pair shares no key once in 40,000.)
 3. Buckets of up to ``SMALL`` classes give their pairs. A larger one gives the pairs with its smallest class, and its members
    are kept for step 5, so its pairs are never all made.
-4. Pairs are confirmed on 40-bit hashes of the whole sets (which miscount a pair of a thousand shingles less than once in a
-   million), and links are joined to components.
+4. Pairs are confirmed on the whole sets of 64-bit shingle hashes, and links are joined to components.
 5. Members of a large bucket that are not yet in its commonest component are compared with all of that component's members in
-   large buckets and with each other, on whole sets, in blocks of ``BLOCK_SETS`` sets that are never joined to pairs. So no link
-   between components is lost.
+   large buckets and with each other, on whole sets, block by block of about ``BLOCK_BYTES`` on either side; pairs are never
+   listed. So no link between components is lost.
 
 Null, empty and wordless texts have no shingles and are linked with nothing. A component is named by the smallest doc_id of its
 documents; null ids come last. Repeated rows each get a row; extra columns are ignored.
@@ -29,7 +28,7 @@ from swelter.llm.common import durable, mixed, parallelism, small_batches, text_
 from swelter.llm.components import components
 from swelter.llm.minhash import SHINGLE, block_keys, shingle_sets, signature
 
-SIMILARITY, SMALL, KEPT_BYTES, BLOCK_SETS = (4, 5), 48, 5, 2048
+SIMILARITY, SMALL, BLOCK_BYTES = (4, 5), 48, 8 << 20
 
 
 def _summary(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -109,15 +108,11 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _blobs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        sets = [(s >> np.uint64(64 - 8 * KEPT_BYTES)) for s in shingle_sets(*text_buffer(b.column(1)), size)]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.view(np.uint8).reshape(-1, 8)[:, :KEPT_BYTES].tobytes() for s in sets], pa.binary())], ["cid", "set"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.tobytes() for s in shingle_sets(*text_buffer(b.column(1)), size)], pa.binary())], ["cid", "set"])
 
 
 def _opened(blob: bytes) -> np.ndarray:
-    few = np.frombuffer(blob, np.uint8).reshape(-1, KEPT_BYTES)
-    full = np.zeros((len(few), 8), np.uint8)
-    full[:, :KEPT_BYTES] = few
-    return full.view(np.uint64).ravel()
+    return np.frombuffer(blob, np.uint64)
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +124,7 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last, kept = y, _opened(y)
             both = np.sort(np.concatenate([_opened(x.as_py()), kept]), kind="stable")
             common.append(int((both[1:] == both[:-1]).sum()))
-        total = [(len(x.as_py()) + len(y.as_py())) // KEPT_BYTES for x, y in zip(b.column(2), b.column(3), strict=True)]
+        total = [(len(x.as_py()) + len(y.as_py())) // 8 for x, y in zip(b.column(2), b.column(3), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(common, pa.int64()), pa.array(np.array(total, np.int64) - np.array(common, np.int64))], ["a", "b", "common", "together"])
 
 
@@ -199,13 +194,19 @@ class NearDuplicates:
         at = durable(at.join(home, "key").select("home", "a", "root").distinct())
         asked = at.where("root <> home")
         held = at.join(asked.select("home").distinct(), "home", "left_semi")
-        blocks = held.groupBy("home").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
         sets = self.sets(held.select(F.col("a").alias("cid")).distinct())
-        held = held.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int")).join(sets.withColumnRenamed("cid", "a"), "a")
-        asked = asked.join(blocks, "home").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(sets.withColumnRenamed("cid", "a"), "a")
-        columns = ["home", "block", "a", "root", "set"]
+        size = sets.select(F.col("cid").alias("a"), F.octet_length("set").alias("size"))
+        held, asked = held.join(size, "a"), asked.join(size, "a")
+        count = lambda df, name: df.groupBy("home").agg(F.ceil(F.sum("size") / BLOCK_BYTES).cast("int").alias(name))
+        blocks = durable(count(held, "own").join(count(asked, "others"), "home"))
+        # every block of held sets meets every block of asked ones, so neither side of a task grows with the bucket
+        deal = lambda c: F.pmod(F.xxhash64("a"), F.col(c)).cast("int")
+        each = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+        held = held.join(blocks, "home").withColumns({"block": deal("own"), "part": each("others")}).join(sets.withColumnRenamed("cid", "a"), "a")
+        asked = asked.join(blocks, "home").withColumns({"block": each("own"), "part": deal("others")}).join(sets.withColumnRenamed("cid", "a"), "a")
+        columns = ["home", "block", "part", "a", "root", "set"]
         asked = asked.select(*(F.col(c).alias(f"asked_{c}") for c in columns))
-        both = held.select(*columns).groupBy("home", "block").cogroup(asked.groupBy("asked_home", "asked_block"))
+        both = held.select(*columns).groupBy("home", "block", "part").cogroup(asked.groupBy("asked_home", "asked_block", "asked_part"))
         return durable(both.applyInArrow(_met, "a long, b long"))
 
 
