@@ -2,7 +2,8 @@
 
 Every partition packs its own pieces best-fit decreasing. Sequences that are at least ``NEARLY`` full are final; the others
 become items of their own size, are brought together ``FAN_IN`` partitions at a time, and are packed again, until one
-partition is left or a round saves nothing. A task holds pieces (a few numbers each) of at most ``HELD`` rows at a time.
+partition is left, or a round over more partitions than the session shuffles to saves under a hundredth. A task holds about
+``HELD`` pieces (a few numbers each) at a time.
 
 A document is its token ids and the end id. Longer ones are cut into whole sequences, with the remainder first. Null and
 empty texts are one piece, the end id alone. Repeated documents are packed each; extra columns are ignored.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from swelter.llm.common import durable, parallelism, small_batches, text_buffer
 
-LENGTH, END_ID, NEARLY, FAN_IN, HELD = 1024, 2, 1.0, 8, 200_000
+LENGTH, END_ID, NEARLY, FAN_IN, HELD = 1024, 2, 0.998, 8, 200_000
 
 PIECE = "struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long,offset:long>"
 BIN_SCHEMA = f"sequence_id long, filled long, final boolean, pieces array<{PIECE}>"
@@ -137,13 +138,14 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, *, length:
         level, width = level + 1, -(-width // fan_in)
 
         def again(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
-            ids, held = _numbers(level), []
+            ids, held, some = _numbers(level), [], 0
             for b in batches:
                 for size, pieces in zip(b.column(1).to_pylist(), b.column(3).to_pylist(), strict=True):
                     held.append((size, [tuple(p.values()) for p in pieces]))
-                if len(held) >= HELD:
+                    some += len(pieces)
+                if some >= HELD:
                     yield _packed(held, ids, length, nearly)
-                    held = []
+                    held, some = [], 0
             if held:
                 yield _packed(held, ids, length, nearly)
 

@@ -71,10 +71,11 @@ def near_expected(rows, size=2):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("small", [near_dedup.SMALL, 1])
-def test_near_duplicates(spark, monkeypatch, small):
-    """Also with every bucket of two or more treated as a large one."""
+@pytest.mark.parametrize(("small", "block"), [(near_dedup.SMALL, near_dedup.BLOCK_BYTES), (1, near_dedup.BLOCK_BYTES), (1, 900)])
+def test_near_duplicates(spark, monkeypatch, small, block):
+    """Also with every bucket of two or more treated as a large one, in one block or in many."""
     monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", block)
     rows = corpus()
     got = near_dedup.near_duplicates(frame(spark, rows)).select("doc_id", "n_shingles", "component_id", "kept").collect()
     assert sorted((tuple(r) for r in got), key=str) == near_expected(rows)
@@ -95,6 +96,20 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert sorted((tuple(r) for r in got), key=str) == near_expected(rows)
 
 
+def test_many_unlinked_texts_in_one_bucket(spark, monkeypatch):
+    """Half of each text is one common passage, the rest its own, and some are near copies of each other."""
+    import random
+
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 20_000)
+    rng = random.Random(11)
+    common = words(rng, 150)
+    rows = [(i, common + " " + " ".join(f"u{rng.randrange(100_000)}" for _ in range(60))) for i in range(120)]
+    rows += [(1000 + i, t + f" tail{i}") for i, t in rows[::10]]
+    got = near_dedup.near_duplicates(frame(spark, rows)).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted((tuple(r) for r in got), key=str) == near_expected(rows)
+
+
 # --- repeated bytes
 
 
@@ -213,6 +228,33 @@ def test_packing(spark):
     assert len(filled) <= -(-total // 1024) + 1
 
 
+def test_packing_over_several_levels(spark):
+    """Forty partitions come together two at a time, nearly full sequences leave at once, and little room is lost."""
+    import random
+
+    rng = random.Random(2)
+    rows = [(i, words(rng, rng.randint(1, 150))) for i in range(600)] + [(1000, words(rng, 60_000))]
+    held = packing.HELD
+    packing.HELD = 50
+    try:
+        got = packing.pack(frame(spark, rows).repartition(40), *tokenizer_files(), length=256, fan_in=2).collect()
+    finally:
+        packing.HELD = held
+    filled = collections.defaultdict(list)
+    for r in got:
+        filled[r.sequence_id].append((r.offset, r.length))
+    for parts in filled.values():
+        at = 0
+        for offset, size in sorted(parts):
+            assert offset == at
+            at += size
+        assert at <= 256
+    assert len({r.sequence_id >> 56 for r in got}) >= 3
+    assert len(filled) <= 1.03 * sum(r.length for r in got) / 256 + 1
+    pieces = collections.Counter((r.doc_id, r.piece) for r in got)
+    assert max(pieces.values()) == 1 and len({r.doc_id for r in got}) == len(rows)
+
+
 # --- fuzzy passages
 
 
