@@ -20,7 +20,8 @@ def with_seasons(daily: DataFrame) -> DataFrame:
 
 def year_stats(daily: DataFrame) -> DataFrame:
     """Mean, maximum and exact interpolated percentiles per location, year and season, to a tenth; no coverage gate."""
-    rows = with_seasons(daily).withColumn("year", F.year("date"))
+    # days are dealt out by location once, and doubled into their two seasons only after that exchange
+    rows = with_seasons(daily.select("location_id", "date", *METRIC_COLUMNS).repartition("location_id")).withColumn("year", F.year("date"))
     out = []
     for c in METRIC_COLUMNS:
         tail = c.removeprefix("wetbulb")
@@ -34,11 +35,16 @@ def year_stats(daily: DataFrame) -> DataFrame:
 
 def yearly_qualified(daily: DataFrame, *, statistic: str = "mean", coverage: float = 0.95) -> DataFrame:
     """Yearly mean or maximum of daily maxima with day counts; a metric is null below ``coverage`` of the season's days."""
-    agg = F.max if statistic == "max" else F.avg
-    per_day = with_seasons(daily).groupBy("location_id", "date", "season").agg(*(F.max(c).alias(c) for c in METRIC_COLUMNS))
-    years = per_day.groupBy("location_id", F.year("date").alias("year"), "season").agg(
-        agg("wetbulb").alias("p"), agg("wetbulb_avg").alias("a"), F.count("wetbulb").cast("int").alias("days_present"), F.count("wetbulb_avg").cast("int").alias("days_present_avg")
+    # one exchange, by location: days, seasons and years of a location are then at hand in one task
+    per_day = daily.select("location_id", "date", *METRIC_COLUMNS).repartition("location_id").groupBy("location_id", "date").agg(*(F.max(c).alias(c) for c in METRIC_COLUMNS))
+    parts = per_day.groupBy("location_id", F.year("date").alias("year"), season(F.col("date")).alias("season")).agg(
+        *(f(c).alias(f"{n}_{c}") for c in METRIC_COLUMNS for n, f in (("sum", F.sum), ("max", F.max), ("n", F.count)))
     )
+    # the year is rolled up from its four seasons, not from its days
+    both = parts.withColumn("season", F.explode(F.array(F.lit("Annual"), "season"))).groupBy("location_id", "year", "season")
+    years = both.agg(*(f(f"{n}_{c}").alias(f"{n}_{c}") for c in METRIC_COLUMNS for n, f in (("sum", F.sum), ("max", F.max), ("n", F.sum))))
+    value = lambda c: F.col(f"max_{c}") if statistic == "max" else F.try_divide(f"sum_{c}", f"n_{c}")
+    years = years.select("location_id", "year", "season", value("wetbulb").alias("p"), value("wetbulb_avg").alias("a"), F.col("n_wetbulb").cast("int").alias("days_present"), F.col("n_wetbulb_avg").cast("int").alias("days_present_avg"))
     need = (coverage * days_in_season(F.col("year"), F.col("season"))).alias("required_days")
     years = years.withColumn("required_days", need)
     return years.select(

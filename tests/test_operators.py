@@ -209,6 +209,27 @@ def test_folded_names(spark):
     assert [r[0] for r in got] == ["saint jerome", "saint jerome", "lodz"]
 
 
+def test_folded_names_of_any_composition(spark):
+    names = ["Đà Nẵng", "Da\u0300 Na\u0306\u0303ng", "Timi\u0219oara", "Timi\u015foara", "Ho\u0302i An", "Ǹgàtà"]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select(geo.folded_name(F.col("n"))).collect()
+    assert [r[0] for r in got] == ["da nang", "da nang", "timisoara", "timisoara", "hoi an", "ngata"]
+
+
+def test_bootstrap_ratios(spark):
+    """Groups of equal errors give one ratio in every resample; otherwise the interval holds the ratio of all."""
+    import random
+
+    rng = random.Random(3)
+    shape = "metric string, season string, station_group string, horizon int, actual double, gmst double, legacy double, lower double, upper double"
+    case = lambda m, g, e: (m, "Annual", g, 6, 0.0, e, 2.0, -1.0, 1.0)
+    rows = [case("even", f"g{k}", 1.0) for k in range(12)] + [case("mixed", f"g{k}", rng.uniform(0.2, 1.8)) for k in range(40)] + [case("mixed", "late", 9.0)[:3] + (11,) + case("mixed", "late", 9.0)[4:]]
+    got = {r.metric: r for r in backtest.bootstrap_ratios(spark.createDataFrame(rows, shape), samples=300).collect()}
+    assert set(got) == {"even", "mixed", None}
+    assert got["even"].mae_ratio_low == got["even"].mae_ratio_high == got["even"].rmse_ratio_low == 0.5
+    ratio = sum(abs(r[5]) for r in rows if r[0] == "mixed" and r[3] == 6) / 80
+    assert got["mixed"].mae_ratio_low < ratio < got["mixed"].mae_ratio_high and got["mixed"].mae_ratio_high - got["mixed"].mae_ratio_low < 0.3
+
+
 def test_offsets_of_time_zones(spark):
     got = spark.createDataFrame([("America/St_Johns",), ("Europe/Berlin",), ("America/Phoenix",)], "z string").select(geo.standard_offset_hours(F.col("z"))).collect()
     assert [r[0] for r in got] == [-3.5, 1.0, -7.0]
