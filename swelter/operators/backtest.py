@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swelter.functions.expr import days_in_season
+from swelter.functions.session import durable
 from swelter.operators.forecast import gmst_fit, group_representatives, interval_margin, random_effects_pool, shrink_slopes
 from swelter.operators.stats import METRIC_COLUMNS, with_seasons
 
 METRICS = ("avg_wetbulb", "max_wetbulb", "avg_wetbulb_avg", "max_wetbulb_avg")
 OVERALL_LIMIT, METRIC_LIMIT, COVERAGE = 1.02, 1.05, (0.75, 0.85)
+#: Bins in which scores are counted before those of one bin are ranked.
+BINS = 4096
 
 
 def annual_metrics(daily: DataFrame) -> DataFrame:
@@ -66,10 +69,19 @@ def calibration_factors(cases: DataFrame, origins: DataFrame | int, *, q: float
     known = cases.where("season = 'Annual'").join(F.broadcast(at), (F.col("origin") < F.col("gate")) & (F.col("year") <= F.col("gate")))
     first = Window.partitionBy("gate", "station_group", "origin", "year", "metric").orderBy("location_id")
     scores = known.withColumn("r", F.row_number().over(first)).where("r = 1").select("gate", "metric", _standardised().alias("score"))
-    # the q-quantile without interpolation, rounded up: rank ceil(q (n - 1)) from 0
-    n = F.count("*").over(Window.partitionBy("gate", "metric"))
-    place = F.row_number().over(Window.partitionBy("gate", "metric").orderBy("score"))
-    picked = scores.select("gate", "metric", "score", n.alias("n"), place.alias("i")).where(F.col("i") == F.ceil(F.round(q * (F.col("n") - 1), 9)) + 1)
+    # the q-quantile without interpolation, rounded up: rank ceil(q (n - 1)) from 0. Scores are counted in bins first, so that only those of the bin
+    # with that rank are put in order
+    scores = durable(scores)
+    keys = ["gate", "metric"]
+    span = scores.groupBy(*keys).agg(F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
+    of = F.coalesce(F.floor(F.try_divide(F.col("score") - F.col("low"), F.col("high") - F.col("low")) * (BINS - 1)), F.lit(0))
+    binned = scores.join(F.broadcast(span), keys).withColumn("bin", of)  # a row for each gate and metric
+    counts = binned.groupBy(*keys, "n", "bin").agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy(*keys).orderBy("bin"))  # BINS rows at most
+    wanted = F.ceil(F.round(q * (F.col("n") - 1), 9)) + 1
+    target = counts.withColumn("upto", upto).where((F.col("upto") >= wanted) & (F.col("upto") - F.col("c") < wanted)).select(*keys, "bin", (wanted - F.col("upto") + F.col("c")).alias("i"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("score"))
+    picked = binned.join(F.broadcast(target), [*keys, "bin"]).withColumn("r", place).where("r = i").select(*keys, "score", "n")
     factor = F.when(F.col("n") >= min_cases, F.greatest("score", F.lit(1.0))).otherwise(1.0)
     grid = at.crossJoin(cases.sparkSession.createDataFrame([(m,) for m in METRICS], "metric string"))
     return grid.join(picked.withColumn("f", factor), ["gate", "metric"], "left").select(F.col("gate").alias("origin"), "metric", F.coalesce("f", F.lit(1.0)).alias("factor"))
