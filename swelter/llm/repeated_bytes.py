@@ -5,7 +5,8 @@ anchors wherever they stand. A context is a maximal run of windows of one text w
 
 1. Every context is listed with its anchor and a 64-bit hash of its bytes (a row for about 180 bytes of text).
 2. A context that stands twice repeats wholly. Anchors with different contexts, or twice inside one, may hold repeats; all others
-   hold none. Contexts are counted per anchor, in one shuffle.
+   hold none. Contexts are counted per anchor, in one shuffle. Anchors with more than one in ``HOT`` of all rows are counted with
+   partial sums instead, and their rows are matched with broadcast keys where they stay; both ways give the same rows.
 3. The bytes of one copy of each context in question are fetched from its text and dealt out by anchor. Blocks of about
    ``BLOCK`` bytes get a run-length index (a run-compressed Burrows-Wheeler transform with sampled run ends), from which matching
    statistics stream; the places that match for ``LENGTH`` bytes or more are marked.
@@ -31,6 +32,9 @@ from swelter.llm.common import byte_sums, durable, parallelism, selected, slices
 from swelter.llm.run_index import RunIndex
 
 LENGTH, GRAM, BLOCK, LARGE = 400, 32, 1 << 17, 900_000
+#: An anchor with more than one in ``HOT`` of all context rows is added up before it is shuffled.
+HOT = 1000
+_PLACE = ("doc_id", "k1", "k2", "start", "size")
 
 
 def contexts(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
@@ -168,11 +172,8 @@ def _cut(batches: Iterator[pa.RecordBatch], carried: tuple[str, ...] = (), keep:
         yield pa.RecordBatch.from_arrays([*(pa.array(x, t) for x, t in zip(columns, types, strict=True)), *b.columns[3:]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", *carried])
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """k1, k2 (the key of a text) and the spans (s, e) of bytes that repeat, gathered per text."""
-    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text")), "text")
-    width = parallelism(docs.sparkSession)
-    rows = texts.mapInArrow(lambda it: _listed(it, length, gram), "doc_id long, k1 long, k2 long, anchor long, hash long, start int, size int, twice boolean")
+def _usual(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """Contexts that stand twice, and one copy of each whose anchor is in question; anchors with few rows each."""
     anchor, context = Window.partitionBy("anchor"), Window.partitionBy("anchor", "hash")
     counted = rows.repartition(max(width, rows.rdd.getNumPartitions()), "anchor").select(
         *rows.columns,
@@ -182,8 +183,33 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
         (F.sum("size").over(anchor) > LARGE).alias("large"),
     )
     counted = durable(counted.where("n > 1 or asked"))
-    wholly = counted.where("n > 1").select("k1", "k2", F.col("start").cast("long").alias("s"), (F.col("start").cast("long") + F.col("size")).alias("e")).distinct()
-    wanted = counted.where("asked and one").groupBy("doc_id", "k1", "k2").agg(F.collect_list(F.struct("anchor", "start", "size", "large")).alias("wanted"))
+    return counted.where("n > 1").select(*_PLACE), counted.where("asked and one").select(*_PLACE, "anchor", "large")
+
+
+def _hot(rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """The same for anchors with many rows, which are added up before any shuffle; no task gets all rows of one.
+
+    Fewer than ``HOT`` anchors and fewer than ``HOT`` contexts have more than ``least`` rows, so those are broadcast."""
+    contexts = durable(rows.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_PLACE)).alias("one"), F.max("twice").alias("twice"), F.sum("size").alias("bytes")))
+    anchors = contexts.groupBy("anchor").agg(((F.count(F.lit(1)) > 1) | F.max("twice")).alias("asked"), (F.sum("bytes") > LARGE).alias("large"))
+    wanted = contexts.join(F.broadcast(anchors.where("asked")), "anchor").select("one.*", "anchor", "large")
+    many = rows.join(F.broadcast(contexts.where((F.col("n") > 1) & (F.col("n") > least))), ["anchor", "hash"], "left_semi")
+    few = rows.join(contexts.where((F.col("n") > 1) & (F.col("n") <= least)), ["anchor", "hash"], "left_semi")
+    return many.union(few).select(*_PLACE), wanted
+
+
+def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """k1, k2 (the key of a text) and the spans (s, e) of bytes that repeat, gathered per text."""
+    texts = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), *text_key(F.col("text")), "text")
+    width = parallelism(docs.sparkSession)
+    rows = texts.mapInArrow(lambda it: _listed(it, length, gram), "doc_id long, k1 long, k2 long, anchor long, hash long, start int, size int, twice boolean")
+    rows = durable(rows)
+    least = rows.count() / HOT
+    hot = durable(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least).select("anchor", F.lit(True).alias("hot")))
+    marked = rows.join(F.broadcast(hot), "anchor", "left")
+    wholly, wanted = (a.unionByName(b) for a, b in zip(_usual(marked.where("hot is null").drop("hot"), width), _hot(marked.where("hot").drop("hot"), least), strict=True))
+    wholly = wholly.select("k1", "k2", F.col("start").cast("long").alias("s"), (F.col("start").cast("long") + F.col("size")).alias("e")).distinct()
+    wanted = wanted.groupBy("doc_id", "k1", "k2").agg(F.collect_list(F.struct("anchor", "start", "size", "large")).alias("wanted"))
     wanted = wanted.select(F.col("doc_id").alias("d"), F.col("k1").alias("w1"), F.col("k2").alias("w2"), "wanted")
     same = (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")) & F.col("doc_id").eqNullSafe(F.col("d"))
     found = texts.join(wanted, same).select("k1", "k2", "text", "wanted").mapInArrow(_fetched, "k1 long, k2 long, anchor long, start int, large boolean, bytes binary")

@@ -127,10 +127,11 @@ def bytes_expected(rows, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("large", [repeated_bytes.LARGE, 900])
-def test_repeated_bytes(spark, monkeypatch, large):
-    """Also with most anchors taking the way of large ones."""
+@pytest.mark.parametrize(("large", "hot"), [(repeated_bytes.LARGE, 1), (900, 1), (repeated_bytes.LARGE, 60), (900, 60), (repeated_bytes.LARGE, repeated_bytes.HOT)])
+def test_repeated_bytes(spark, monkeypatch, large, hot):
+    """Also with most anchors taking the way of large ones; with no, some and all anchors taking that of hot ones."""
     monkeypatch.setattr(repeated_bytes, "LARGE", large)
+    monkeypatch.setattr(repeated_bytes, "HOT", hot)
     rows = corpus()
     rows += [(300 + i, rows[i][1] + " " + ("shared passage number %d " % (i % 2)) * 30) for i in range(6)]
     got = repeated_bytes.repeated_bytes(frame(spark, rows)).collect()
