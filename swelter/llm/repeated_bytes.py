@@ -11,7 +11,7 @@ anchors wherever they stand. A context is a maximal run of windows of one text w
    ``BLOCK`` bytes get a run-length index (a run-compressed Burrows-Wheeler transform with sampled run ends), from which matching
    statistics stream; the places that match for ``LENGTH`` bytes or more are marked.
 4. An anchor with more than ``LARGE`` bytes of contexts takes the exact way that has no bound: a 64-bit hash of each of its
-   windows, counted by a shuffle that spreads them evenly.
+   windows, counted with partial sums. Repeated rows count as often as they stand, which is what is asked.
 5. Marks are gathered per text and cut out of every document that has it.
 
 Texts are UTF-8 bytes; null and empty ones are kept as they are. Texts shorter than ``LENGTH`` lose nothing. Repeated rows are
@@ -186,16 +186,18 @@ def _usual(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     return counted.where("n > 1").select(*_PLACE), counted.where("asked and one").select(*_PLACE, "anchor", "large")
 
 
-def _hot(rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
-    """The same for anchors with many rows, which are added up before any shuffle; no task gets all rows of one.
+def _again(rows: DataFrame, counts: DataFrame, keys: list[str], least: float) -> DataFrame:
+    """The rows whose key stands more than once (``n``); those of keys with more than ``least`` rows, fewer than ``HOT`` keys, are not shuffled."""
+    many = rows.join(F.broadcast(counts.where((F.col("n") > 1) & (F.col("n") > least))), keys, "left_semi")
+    return many.union(rows.join(counts.where((F.col("n") > 1) & (F.col("n") <= least)), keys, "left_semi"))
+
 
-    Fewer than ``HOT`` anchors and fewer than ``HOT`` contexts have more than ``least`` rows, so those are broadcast."""
+def _hot(rows: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """The same for fewer than ``HOT`` anchors with many rows, which are added up before any shuffle; no task gets all rows of one."""
     contexts = durable(rows.groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*_PLACE)).alias("one"), F.max("twice").alias("twice"), F.sum("size").alias("bytes")))
     anchors = contexts.groupBy("anchor").agg(((F.count(F.lit(1)) > 1) | F.max("twice")).alias("asked"), (F.sum("bytes") > LARGE).alias("large"))
     wanted = contexts.join(F.broadcast(anchors.where("asked")), "anchor").select("one.*", "anchor", "large")
-    many = rows.join(F.broadcast(contexts.where((F.col("n") > 1) & (F.col("n") > least))), ["anchor", "hash"], "left_semi")
-    few = rows.join(contexts.where((F.col("n") > 1) & (F.col("n") <= least)), ["anchor", "hash"], "left_semi")
-    return many.union(few).select(*_PLACE), wanted
+    return _again(rows, contexts, ["anchor", "hash"], least).select(*_PLACE), wanted
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -216,8 +218,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     found = durable(found)
     dealt = found.where("not large").repartition(max(width, found.rdd.getNumPartitions()), "anchor").sortWithinPartitions("anchor")
     indexed = dealt.mapInArrow(lambda it: _indexed(it, length), "k1 long, k2 long, s long, e long")
-    hashed = found.where("large").mapInArrow(lambda it: _windows(it, length), "k1 long, k2 long, at long, h long").distinct()
-    again = hashed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("n > 1").select("k1", "k2", F.col("at").alias("s"), (F.col("at") + length).alias("e"))
+    hashed = durable(found.where("large").mapInArrow(lambda it: _windows(it, length), "k1 long, k2 long, at long, h long"))
+    windows = durable(hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    again = _again(hashed, windows, ["h"], hashed.count() / HOT).select("k1", "k2", F.col("at").alias("s"), (F.col("at") + length).alias("e"))
     marks = wholly.union(indexed).union(again)
     return marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "e")).alias("marks"))
 
