@@ -48,7 +48,7 @@ def backtest_cases(annual: DataFrame, gmst: DataFrame, groups: DataFrame, *, ori
     g = known.groupBy("origin").agg(F.count("*").alias("gn"), F.avg("year").alias("gy"), F.avg("anomaly").alias("ga"), F.regr_slope("anomaly", "year").alias("gs"), F.regr_sxx("anomaly", "year").alias("gx"), F.regr_syy("anomaly", "year").alias("gyy"))
     rest = F.greatest(F.lit(0.0), (F.col("gyy") - F.pow("gs", F.lit(2)) * F.col("gx")) / (F.col("gn") - 2))
     ahead = long.withColumnRenamed("value", "actual").join(at, (F.col("year") > F.col("origin")) & (F.col("year") <= F.col("origin") + horizon))
-    rows = ahead.join(shrunk, ["location_id", *keys]).join(trend, ["location_id", *keys]).join(F.broadcast(groups), "location_id").where("per_year is not null")
+    rows = ahead.join(shrunk, ["location_id", *keys]).join(trend, ["location_id", *keys]).join(groups, "location_id").where("per_year is not null")
     if oracle:
         rows = rows.join(F.broadcast(gmst.select("year", F.col("anomaly").alias("predictor"))), "year").withColumn("pvar", F.lit(0.0))
     else:

@@ -120,7 +120,7 @@ def gmst_fit(values: DataFrame, gmst: DataFrame, *, keys=("location_id", "season
 def group_representatives(fits: DataFrame, groups: DataFrame, *, keys=("season", "metric")) -> DataFrame:
     """One fit per station group: most years, then least variance, then smallest id."""
     best = Window.partitionBy("station_group", *keys).orderBy(F.desc("n"), "slope_variance", "location_id")
-    return fits.join(F.broadcast(groups), "location_id").withColumn("r", F.row_number().over(best)).where("r = 1").drop("r")
+    return fits.join(groups, "location_id").withColumn("r", F.row_number().over(best)).where("r = 1").drop("r")
 
 
 def random_effects_pool(reps: DataFrame, *, keys=("season", "metric")) -> DataFrame:

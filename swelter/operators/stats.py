@@ -72,7 +72,7 @@ def _ranked(stats: DataFrame, locations: DataFrame, forecast: DataFrame, base: D
     stats = stats.where(F.col("location_id") >= low) if high is None else stats.where(F.col("location_id").between(low, high))
     ends = ("lower", "upper", "lower_avg", "upper_avg")
     future = forecast.where("year = 2100").select("location_id", "season", *(F.col(c).alias(f"future_{c}") for c in ends))
-    out = stats.join(F.broadcast(locations.select(F.col("id").alias("location_id"), "city", "state")), "location_id")
+    out = stats.join(locations.select(F.col("id").alias("location_id"), "city", "state"), "location_id")
     out = out.join(future, ["location_id", "season"], "left").join(base, ["location_id", "season"], "left")
     change = lambda c: F.round((F.col(c) - F.col(f"base_{c}")).cast("decimal(20,6)"), 2).cast("double")
     return out.select(

@@ -118,16 +118,25 @@ def _(t):
 _LONG = f"SELECT CAST(event_id % 7 AS INT) AS location_id, CASE event_id % 3 WHEN 0 THEN 'Tair' WHEN 1 THEN 'Qair' ELSE 'PSurf' END AS var, t AS time, CAST(CASE WHEN event_id % 11 = 0 THEN -9999 ELSE tt END AS DOUBLE) AS value FROM ({RAW})"
 
 
+def _long(t):
+    k = F.col("event_id")
+    return _raw(t).select((k % 7).cast("int").alias("location_id"), F.element_at(F.lit(["Tair", "Qair", "PSurf"]), (k % 3 + 1).cast("int")).alias("var"), F.col("t").alias("time"), F.when(k % 11 == 0, -9999).otherwise(F.col("tt")).cast("double").alias("value"))
+
+
 @query("s6_hourly_point_series", f"SELECT location_id, time, max(value) FILTER (WHERE var = 'Tair' AND value > -9000) AS Tair, max(value) FILTER (WHERE var = 'Qair' AND value > -9000) AS Qair, max(value) FILTER (WHERE var = 'PSurf' AND value > -9000) AS PSurf FROM ({_LONG}) GROUP BY 1, 2")
 def _(t):
-    k = F.col("event_id")
-    long = _raw(t).select((k % 7).cast("int").alias("location_id"), F.element_at(F.lit(["Tair", "Qair", "PSurf"]), (k % 3 + 1).cast("int")).alias("var"), F.col("t").alias("time"), F.when(k % 11 == 0, -9999).otherwise(F.col("tt")).cast("double").alias("value"))
+    long = _long(t)
     # the values pass through files of the archive's shape
     body = F.concat(F.lit("prod_name,x\nparam_short_name,"), F.col("var"), F.lit("\n\nTimestamp (UTC),Data\n"), F.array_join(F.collect_list(F.concat(F.col("time").cast("string"), F.lit(","), F.col("value").cast("string"))), "\n")).alias("value")
     files = long.groupBy("location_id", "var", F.col("time").cast("date")).agg(body).select("location_id", "value")
     return hourly.hourly_point_series(hourly.parse_point_series(files))[0]
 
 
+@query("s6_missing_share", f"WITH w AS (SELECT location_id, time, max(value) FILTER (WHERE var = 'Tair' AND value > -9000) AS a FROM ({_LONG}) GROUP BY 1, 2) SELECT location_id, {r('avg(CASE WHEN a IS NULL THEN 1.0 ELSE 0.0 END)', 6)} AS missing_share FROM w GROUP BY 1 HAVING avg(CASE WHEN a IS NULL THEN 1.0 ELSE 0.0 END) > 0.5")
+def _(t):
+    return hourly.hourly_point_series(_long(t))[1].withColumn("missing_share", rounded("missing_share", 6))
+
+
 _RE = f"SELECT CAST(event_id % 5 AS INT) AS location_id, t, (tt + 2731.5) / 10 AS a, (dd + 2731.5) / 10 AS d, CASE WHEN gap <> 0 THEN pp * 10.0 END AS p, event_id FROM ({RAW})"
 _Q = "0.622 * 6.112 * exp(17.67 * (d - 273.15) / (d - 273.15 + 243.5)) / (p / 100 - (1 - 0.622) * 6.112 * exp(17.67 * (d - 273.15) / (d - 273.15 + 243.5)))"
 
@@ -139,6 +148,13 @@ def _(t):
     return out.withColumns({"Tair": rounded("Tair", 4), "Qair": rounded("Qair", 8), "PSurf": rounded("PSurf", 4)})
 
 
+@query("s7_hourly_reanalysis_region", f"SELECT location_id, t AS time, {r('a', 4)} AS Tair, {r(_Q, 8)} AS Qair, {r('p', 4)} AS PSurf, CAST(-3.5 AS DOUBLE) AS utc_offset_hours FROM ({_RE}) WHERE p IS NOT NULL")
+def _(t):
+    raw = _raw(t).select((F.col("event_id") % 5).cast("int").alias("location_id"), (F.unix_seconds(F.col("t").cast("timestamp")) * 1000).alias("time"), ((F.col("tt") + 2731.5) / 10).cast("string").alias("temperature_2m"), ((F.col("dd") + 2731.5) / 10).cast("string").alias("dewpoint_temperature_2m"), F.when(F.col("gap") != 0, F.col("pp") * 10.0).cast("string").alias("surface_pressure"))
+    out = hourly.hourly_reanalysis(raw, raw.select("location_id").distinct().withColumn("utc_offset_hours", F.lit(-3.5)), style="region")
+    return out.withColumns({"Tair": rounded("Tair", 4), "Qair": rounded("Qair", 8), "PSurf": rounded("PSurf", 4)})
+
+
 _GRID = "SELECT CAST(event_id % 8 AS INT) AS iy, CAST(event_id % 5 AS INT) AS ix, t AS time, CAST(max(CASE WHEN event_id % 13 = 0 THEN -9999 ELSE tt END) AS DOUBLE) AS v FROM (" + RAW + ") GROUP BY 1, 2, 3"
 
 
@@ -164,12 +180,12 @@ def _landed(t, df, kind: str, **options) -> str:
     return path
 
 
-@query("s1_read_daily", f"SELECT location_id, CAST(year(date) AS INT) AS year, source, count(*) AS n, {r('sum(wetbulb)', 1)} AS total FROM {{dense_daily}} WHERE year(date) BETWEEN 2001 AND 2003 GROUP BY ALL")
+@query("s1_read_daily", f"SELECT location_id, CAST(year(date) AS INT) AS year, source, count(*) AS n, {r('sum(wetbulb)', 1)} AS total FROM {{dense_daily}} GROUP BY ALL")
 def _(t):
     shared = shared_folder(t.spark)
     root = os.path.join(shared, f"daily-{uuid.uuid4().hex}")
     t.dense_daily.withColumn("year", F.year("date")).repartition("year").write.partitionBy("year").parquet(root)
-    out = tables.read_daily(t.spark, root, start_year=2001, end_year=2003, pattern="*.parquet")
+    out = tables.read_daily(t.spark, root, pattern="*.parquet")
     return out.groupBy("location_id", F.col("year").cast("int").alias("year"), "source").agg(F.count("*").alias("n"), rounded(F.sum("wetbulb"), 1).alias("total"))
 
 
@@ -206,12 +222,23 @@ def _(t):
     "SELECT station_id, CAST(max(least((pk % 90) + 5, (pk * 7 % 90) + y, greatest(pk % 50, 20 + y * 10))) AS DOUBLE) / 100 AS score FROM {stations_geo} CROSS JOIN (SELECT 0 AS y UNION ALL SELECT 1) WHERE (pk * 7 % 90) + y > 0 GROUP BY station_id",
 )
 def _(t):
+    return tables.station_coverage_scores(_inventory(t))
+
+
+@query(
+    "s11_station_coverage_scores_by_year",
+    "SELECT station_id, CAST(2000 + y AS INT) AS year, CAST(max(least((pk % 90) + 5, (pk * 7 % 90) + y, greatest(pk % 50, 20 + y * 10))) AS DOUBLE) / 100 AS score FROM {stations_geo} CROSS JOIN (SELECT 0 AS y UNION ALL SELECT 1) WHERE (pk * 7 % 90) + y > 0 GROUP BY 1, 2",
+)
+def _(t):
+    return tables.station_coverage_scores(_inventory(t), by_year=True)
+
+
+def _inventory(t):
     s = t.stations_geo.crossJoin(t.spark.range(2).withColumnRenamed("id", "y"))
     d = lambda name, e: F.struct(F.lit(name).alias("id"), (e.cast("double") / 100).alias("coverage"))
     pk, y = F.col("pk"), F.col("y")
     kinds = F.array(d("temperature", pk % 90 + 5), d("dew_point_temperature", pk * 7 % 90 + y), d("sea_level_pressure", pk % 50), d("altimeter", 20 + y * 10))
-    inventory = s.select(F.concat(F.lit("GHCNh_"), "station_id", F.lit("_"), (2000 + y).cast("string"), F.lit(".json")).alias("file"), F.array(F.struct(kinds.alias("dataTypes"))).alias("stations"))
-    return tables.station_coverage_scores(inventory)
+    return s.select(F.concat(F.lit("GHCNh_"), "station_id", F.lit("_"), (2000 + y).cast("string"), F.lit(".json")).alias("file"), F.array(F.struct(kinds.alias("dataTypes"))).alias("stations"))
 
 
 @query("s12_read_station_inventory", "SELECT station_id || '99999' AS station_id, lat, lon, elev_m, begin_year, end_year FROM {stations_geo} WHERE pk % 6 <> 0 AND lat BETWEEN 35 AND 45 AND lon BETWEEN -110 AND -80")

@@ -43,7 +43,7 @@ def _station_rows(rows: DataFrame, offsets: DataFrame | None, as_of: datetime.da
     rows = rows.where("t is not null and tair_c is not null and dewpoint_c is not null").withColumn("_r", F.row_number().over(best)).where("_r = 1")
     rows = rows.withColumn("pressure_hpa", station_pressure(*(F.col(c) for c in ("station", "sea", "altimeter", "elevation", "tair_c"))))
     if offsets is not None:
-        rows = rows.join(F.broadcast(offsets.select("station_id", F.col("utc_offset_hours").cast("double").alias("_u"))), "station_id", "left")
+        rows = rows.join(offsets.select("station_id", F.col("utc_offset_hours").cast("double").alias("_u")), "station_id", "left")
     hours = F.coalesce(*([F.col("_u")] if offsets is not None else []), F.rint(F.coalesce("lon", F.lit(0.0)) / 15))
     rows = rows.withColumns({"hours": hours, "time": shifted(F.col("t"), hours)})
     if as_of is not None:
@@ -86,7 +86,7 @@ def hourly_isd(raw: DataFrame, candidates: DataFrame | None = None, *, offsets:
     out = _station_rows(rows, offsets, None)
     if candidates is None:
         return out
-    years = out.select("station_id", F.year("time").alias("year")).distinct().join(F.broadcast(candidates), "station_id")
+    years = out.select("station_id", F.year("time").alias("year")).distinct().join(candidates, "station_id")
     first = F.row_number().over(Window.partitionBy("location_id", "year").orderBy("position"))
     chosen = years.withColumn("_r", first).where("_r = 1").select("station_id", "year").distinct()
     return out.withColumn("year", F.year("time")).join(chosen, ["station_id", "year"], "left_semi").drop("year")
@@ -112,7 +112,7 @@ def hourly_eccc(pages: DataFrame, *, offsets: DataFrame, as_of: datetime.datetim
         return F.when(flag.isNull() | (flag == ""), number(F.col(c).cast("string")))
 
     rows = p.select(F.col("STN_ID").cast("string").alias("station_id"), instant(F.col("UTC_DATE")).alias("t"), value("TEMP").alias("tair_c"), value("DEW_POINT_TEMP").alias("dewpoint_c"), (value("STATION_PRESSURE") * 10).alias("pressure_hpa"))
-    rows = rows.join(F.broadcast(offsets.select("station_id", F.col("utc_offset_hours").cast("double").alias("h"))), "station_id").withColumn("time", shifted(F.col("t"), F.col("h")))
+    rows = rows.join(offsets.select("station_id", F.col("utc_offset_hours").cast("double").alias("h")), "station_id").withColumn("time", shifted(F.col("t"), F.col("h")))
     if as_of is not None:
         today = shifted(F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz"), F.col("h")).cast("date")
         rows = rows.where((F.year("t") != as_of.year) | (F.col("time").cast("date") < today))
@@ -149,7 +149,7 @@ def hourly_reanalysis(raw: DataFrame, offsets: DataFrame | None = None, *, style
     rows = rows.withColumn("Qair", specific_humidity(F.col("d") - KELVIN, F.col("PSurf") / 100)).where("Tair is not null and Qair is not null and PSurf is not null")
     columns = ["location_id", "time", "Tair", "Qair", "PSurf"]
     if offsets is not None:
-        rows = rows.join(F.broadcast(offsets.select("location_id", F.col("utc_offset_hours").cast("double").alias("utc_offset_hours"))), "location_id")
+        rows = rows.join(offsets.select("location_id", F.col("utc_offset_hours").cast("double").alias("utc_offset_hours")), "location_id")
         if style == "region":
             return rows.select(*columns, "utc_offset_hours")
         rows = rows.withColumn("time", shifted(F.col("time"), F.col("utc_offset_hours").cast("int")))
@@ -159,7 +159,7 @@ def hourly_reanalysis(raw: DataFrame, offsets: DataFrame | None = None, *, style
 def hourly_grid_at_points(grid: DataFrame, points: DataFrame, *, fill: float = FILL) -> DataFrame:
     """The hours of each point's cell; a point without a cell (-1) has the times of the grid with nulls."""
     real = {c: F.when(F.col(c) > fill, F.col(c)) for c in ("Tair", "Qair", "PSurf")}
-    inside = grid.join(F.broadcast(points.select("location_id", "iy", "ix")), ["iy", "ix"]).withColumns(real)
+    inside = grid.join(points.select("location_id", "iy", "ix"), ["iy", "ix"]).withColumns(real)
     columns = ["location_id", "time", *real]
     outside = points.where("iy < 0 or ix < 0").select("location_id").crossJoin(F.broadcast(grid.select("time").distinct())).select("location_id", "time", *(F.lit(None).cast("double").alias(c) for c in real))
     return inside.select(*columns).unionByName(outside)
