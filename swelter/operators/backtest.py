@@ -123,14 +123,18 @@ def seasonal_diagnostics(cases: DataFrame) -> DataFrame:
 
 
 def bootstrap_ratios(cases: DataFrame, *, samples: int = 1000, seed: int = 0) -> DataFrame:
-    """95 % intervals of the ratios over resampled station groups, per metric and overall (metric null)."""
+    """95 % intervals of the ratios over resampled station groups, per metric and overall (metric null).
+
+    Draw ``d`` of a replicate takes the group whose number is the first 32 bits of the digest of seed, replicate, metric and ``d``,
+    modulo the number of groups, so a resample does not depend on how rows are dealt."""
     sums = [F.sum(c).alias(c) for c in ("gmst_abs", "legacy_abs", "gmst_sq", "legacy_sq")]
     per = _errors(cases).where("season = 'Annual'").groupBy("metric", "station_group").agg(*sums)
     per = per.unionByName(per.groupBy("station_group").agg(*sums).withColumn("metric", F.lit(None).cast("string")))
     per = per.withColumn("m", F.coalesce("metric", F.lit(""))).withColumns({"i": F.row_number().over(Window.partitionBy("m").orderBy("station_group")) - 1, "g": F.count("*").over(Window.partitionBy("m"))})
     sizes = per.select("m", "g").distinct()
     draws = cases.sparkSession.range(samples).withColumnRenamed("id", "replicate").crossJoin(F.broadcast(sizes)).select("replicate", "m", "g", F.explode(F.sequence(F.lit(1), F.col("g"))).alias("d"))
-    pick = F.pmod(F.xxhash64(F.lit(seed), "replicate", "m", "d"), F.col("g")).alias("i")
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("replicate").cast("string"), "m", F.col("d").cast("string")))
+    pick = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % F.col("g")).alias("i")
     drawn = draws.select("replicate", "m", pick).join(per.drop("g"), ["m", "i"])
     each = drawn.groupBy("m", "replicate").agg(F.try_divide(F.sum("gmst_abs"), F.sum("legacy_abs")).alias("mae"), F.sqrt(F.try_divide(F.sum("gmst_sq"), F.sum("legacy_sq"))).alias("rmse"))
     out = each.groupBy("m").agg(*(F.expr(f"percentile({c}, {p})").alias(f"{c}_ratio_{n}") for c in ("mae", "rmse") for p, n in ((0.025, "low"), (0.975, "high"))))

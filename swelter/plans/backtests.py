@@ -115,8 +115,18 @@ def _(t):
     return bt.seasonal_diagnostics(_calibrated(t)).withColumns({c: rounded(c, 6) for c in ("mae_ratio", "rmse_ratio", "coverage_80")})
 
 
-@query("b7_bootstrap_ratios")
-def _(t):
-    return bt.bootstrap_ratios(_calibrated(t))
+_BOUNDS = ", ".join(r(f"quantile_cont({c}, {p})", 6) + f" AS {c}_ratio_{n}" for c in ("mae", "rmse") for p, n in ((0.025, "low"), (0.975, "high")))
 
 
+@query(
+    "b7_bootstrap_ratios",
+    f"""{CALIBRATED}, er AS (SELECT metric AS m, station_group, sum(abs(gmst - actual)) AS a, sum(abs(legacy - actual)) AS b, sum(power(gmst - actual, 2)) AS c, sum(power(legacy - actual, 2)) AS d FROM cb WHERE season = 'Annual' AND horizon BETWEEN 5 AND 10 GROUP BY 1, 2),
+    al AS (SELECT * FROM er UNION ALL SELECT '', station_group, sum(a), sum(b), sum(c), sum(d) FROM er GROUP BY station_group),
+    nu AS (SELECT *, row_number() OVER (PARTITION BY m ORDER BY station_group) - 1 AS i, count(*) OVER (PARTITION BY m) AS g FROM al),
+    dr AS (SELECT m, k, CAST('0x' || substr(md5('0|' || k || '|' || m || '|' || n), 1, 8) AS BIGINT) % g AS i FROM (SELECT DISTINCT m, g, unnest(generate_series(1, g)) AS n FROM nu) CROSS JOIN (SELECT unnest(generate_series(0, 999)) AS k)),
+    ea AS (SELECT m, k, sum(a) / sum(b) AS mae, sqrt(sum(c) / sum(d)) AS rmse FROM dr JOIN nu USING (m, i) GROUP BY 1, 2)
+    SELECT nullif(m, '') AS metric, {_BOUNDS} FROM ea GROUP BY m""",
+)
+def _(t):
+    out = bt.bootstrap_ratios(_calibrated(t))
+    return out.select("metric", *(rounded(c, 6).alias(c) for c in out.columns[1:]))
