@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -189,6 +190,30 @@ def _(t):
     return out.groupBy("location_id", F.col("year").cast("int").alias("year"), "source").agg(F.count("*").alias("n"), rounded(F.sum("wetbulb"), 1).alias("total"))
 
 
+def _named(t, root: str, kind: str) -> None:
+    """Give the files that Spark wrote under year folders the names of an archive."""
+    hadoop = t.spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(root).getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
+    for f in files.globStatus(hadoop.Path(f"{root}/year=*/part-*")):
+        files.rename(f.getPath(), hadoop.Path(f.getPath().getParent(), f"wetbulb_{kind}{f.getPath().getName()}"))
+
+
+@query(
+    "s1_read_daily_inferred",
+    "SELECT location_id, CAST(year(date) AS INT) AS year, CASE source WHEN 'eccc' THEN 'eccc' WHEN 'isd' THEN 'isd' WHEN 'ghcnh' THEN 'isd' ELSE 'nldas' END AS source, count(*) AS n, CAST(sum(CASE WHEN source = 'eccc' THEN observed_hours END) AS BIGINT) AS hours FROM {dense_daily} GROUP BY 1, 2, 3",
+)
+def _(t):
+    root = os.path.join(shared_folder(t.spark), f"daily-{uuid.uuid4().hex}")
+    days = t.dense_daily.withColumn("year", F.year("date")).repartition("year")
+    short = ["location_id", "date", "wetbulb", "wetbulb_avg", "year"]
+    # kinds of files with columns of their own; only one of them names its source
+    for kind, sources, columns in (("batch_", ("isd", "ghcnh"), short), ("fill_batch_", ("nldas", "era5land"), short), ("eccc_batch_", ("eccc",), [*short, "source", "observed_hours"])):
+        days.where(F.col("source").isin(*sources)).select(*columns).write.mode("append").partitionBy("year").parquet(root)
+        _named(t, root, kind)
+    out = tables.read_daily(t.spark, root)
+    return out.groupBy("location_id", F.col("year").cast("int").alias("year"), "source").agg(F.count("*").alias("n"), F.sum("observed_hours").alias("hours"))
+
+
 @query(
     "s9_read_places_us",
     "SELECT 'US' || lpad(CAST(1 + country % 2 * 3 AS VARCHAR), 2, '0') || lpad(CAST(location_id % 100000 AS VARCHAR), 5, '0') AS place_id, city, CASE country % 2 WHEN 0 THEN 'AL' ELSE 'AZ' END AS state, 'US' AS country, population, lat, lng FROM {cities_geo} WHERE location_id % 3 <> 0 AND country <> 7",
@@ -247,6 +272,33 @@ def _(t):
     return tables.read_station_inventory(t.spark, _landed(t, s, "csv", header=True), bbox=(35.0, 45.0, -110.0, -80.0))
 
 
+@query("s12_read_station_inventory_geojson", "SELECT CAST(pk AS VARCHAR) AS station_id, lat, lon, elev_m, begin_year, end_year FROM {stations_geo} WHERE pk % 6 <> 0 AND pk % 7 <> 0")
+def _(t):
+    pk = F.col("pk")
+    properties = F.struct(pk.cast("string").alias("STN_ID"), F.when(pk % 6 == 0, "N").otherwise("Y").alias("HAS_HOURLY_DATA"), F.when(pk % 7 != 0, F.col("elev_m").cast("string")).alias("ELEVATION"), F.concat(F.col("begin_year").cast("string"), F.lit("-02-01 00:00:00")).alias("HLY_FIRST_DATE"), F.concat(F.col("end_year").cast("string"), F.lit("-05-01 00:00:00")).alias("HLY_LAST_DATE"))
+    feature = F.struct(F.struct(F.array("lon", "lat").alias("coordinates")).alias("geometry"), properties.alias("properties"))
+    pages = t.stations_geo.groupBy(F.floor(pk / 500).alias("page")).agg(F.collect_list(feature).alias("features")).drop("page")
+    return tables.read_station_inventory(t.spark, _landed(t, pages, "json", maxRecordsPerFile=1), style="geojson")
+
+
+@query(
+    "s13_read_dimensions_all",
+    """SELECT 'locations' AS name, CAST(id AS VARCHAR) AS key, lat AS value FROM {locations} UNION ALL SELECT 'gmst_observations', CAST(year AS VARCHAR), anomaly FROM {gmst_obs} UNION ALL SELECT 'gmst_scenarios', scenario || ' ' || CAST(year AS VARCHAR), anomaly + sigma_g FROM {gmst_scen}
+    UNION ALL SELECT 'forecast_station_groups', CAST(location_id AS VARCHAR) || ' ' || station_group, NULL FROM {station_groups} UNION ALL SELECT 'forecast_interval_calibration', metric, calibration_factor FROM {calib}""",
+)
+def _(t):
+    root = os.path.join(shared_folder(t.spark), f"dimensions-{uuid.uuid4().hex}")
+    stored = {"locations": t.locations.withColumnRenamed("id", "location_id"), "gmst_observations": t.gmst_obs, "gmst_scenarios": t.gmst_scen, "forecast_station_groups": t.station_groups, "forecast_interval_calibration": t.calib}
+    for name, df in stored.items():
+        declared = [f.split()[0] for f in tables.DIMENSIONS[name].split(", ")]
+        df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in declared)).write.option("header", True).csv(f"{root}/{name}.csv")
+    read = tables.read_dimensions(t.spark, root)
+    pair = lambda *c: F.concat_ws(" ", *(F.col(x).cast("string") for x in c))
+    shown = {"locations": (pair("id"), F.col("lat")), "gmst_observations": (pair("year"), F.col("anomaly")), "gmst_scenarios": (pair("scenario", "year"), F.col("anomaly") + F.col("sigma_g")), "forecast_station_groups": (pair("location_id", "station_group"), F.lit(None).cast("double")), "forecast_interval_calibration": (pair("metric"), F.col("calibration_factor"))}
+    parts = [read[n].select(F.lit(n).alias("name"), k.alias("key"), v.alias("value")) for n, (k, v) in shown.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("s13_read_dimensions", "SELECT id, city, state, lat, lng FROM {locations}")
 def _(t):
     root = os.path.join(shared_folder(t.spark), f"dimensions-{uuid.uuid4().hex}")

@@ -197,6 +197,14 @@ def test_unique_claims_follow_population(spark):
     assert rows(stations_, "location_id", "station_id") == sorted(want, key=str) and kept.count() == len(want)
 
 
+def test_ranks_across_ranges(spark):
+    places = [(f"p{i:03}", (i * 37 % 20) * 100 if i % 9 else None) for i in range(200)]
+    got = catalog.by_population(spark.createDataFrame(places, "place_id string, population long").repartition(7)).collect()
+    want = [p for p, _ in sorted(places, key=lambda x: (x[1] is None, -(x[1] or 0), x[0]))]
+    assert [r.place_id for r in sorted(got, key=lambda r: r["rank"])] == want and sorted(r["rank"] for r in got) == list(range(1, 201))
+    assert catalog.by_population(spark.createDataFrame([], "place_id string, population long")).count() == 0
+
+
 def test_catalogue_guards(spark):
     c = spark.createDataFrame([(1, "a", "b", 1.0, 2.0)], "location_id int, city string, state string, lat double, lng double")
     assert catalog.locations_from_catalog([c]).columns == ["id", "city", "state", "lat", "lng"]
