@@ -8,8 +8,8 @@ bound here; scoring covers every word of every document. The expected grade is t
 Labels of one bit are graded here: 0 clean, 1 toxic, 2 toxic with more telling words than the median.
 
 Null and empty texts score what the thresholds alone say. Labels that are null are not learned from; of several labels of a
-document the highest counts. With no toxic or no clean label, every severity is 0. Repeated documents each get their row; extra
-columns are ignored.
+document the highest counts, and of several rows of a labelled document the one whose text has the smallest hash. With no toxic or
+no clean label, every severity is 0. Repeated documents each get their row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -90,8 +90,10 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
                     h, n = np.unique(w.hashes[w.first[r - i] : w.first[r - i + 1]], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[r].as_py()], pa.int32()), pa.array([int(w.counts[r - i])], pa.int64()), pa.array([h.view(np.int64)], pa.list_(pa.int64())), pa.array([n.astype(np.int32)], pa.list_(pa.int32()))], ["y", "size", "h", "n"])
 
-    # the sample has a fixed bound, so its ids can be broadcast and no text is shuffled
-    bags = small_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("y", "text").mapInArrow(words, "y int, size long, h array<long>, n array<int>").persist()
+    # the sample has a fixed bound, so its ids can be broadcast; rows of one id are reduced to one before they are shuffled
+    rows = small_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    single = rows.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one"))
+    bags = single.select("y", "one.text").mapInArrow(words, "y int, size long, h array<long>, n array<int>").persist()
     total = {r["y"]: r["d"] for r in bags.groupBy("y").agg(F.count("*").alias("d")).collect()}
     if not total.get(0) or not total.get(1):
         bags.unpersist()
@@ -114,15 +116,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", sample: int
                 share = float(n[in_sorted(h, telling) >= 0].sum())
                 yield pa.RecordBatch.from_arrays([pa.array([y], pa.int32()), pa.array([share], pa.float64()), pa.array([at[at >= 0].tolist()], pa.list_(pa.int32())), pa.array([n[at >= 0].tolist()], pa.list_(pa.int32()))], ["y", "share", "at", "n"])
 
-    rows = bags.mapInArrow(narrow, "y int, share double, at array<int>, n array<int>").collect()  # at most ``sample`` rows of at most ``features`` numbers
+    learned = bags.mapInArrow(narrow, "y int, share double, at array<int>, n array<int>").collect()  # at most ``sample`` rows of at most ``features`` numbers
     bags.unpersist()
-    y, share = np.array([r["y"] for r in rows]), np.array([r["share"] for r in rows])
+    y, share = np.array([r["y"] for r in learned]), np.array([r["share"] for r in learned])
     grades = y * (1 + (share > np.median(share[y == 1])))
     if not (grades == 2).any():
         grades = y
-    where = np.repeat(np.arange(len(rows)), [len(r["at"]) for r in rows])
-    cols = np.array([k for r in rows for k in r["at"]], np.int64)
-    values = 1 + np.log(np.array([k for r in rows for k in r["n"]], float))
+    where = np.repeat(np.arange(len(learned)), [len(r["at"]) for r in learned])
+    cols = np.array([k for r in learned for k in r["at"]], np.int64)
+    values = 1 + np.log(np.array([k for r in learned for k in r["n"]], float))
     weights, thresholds = ordinal(where, cols, values, grades, len(table))
     return Ordinal(table, weights, thresholds)
 

@@ -222,6 +222,14 @@ def test_toxicity_on_held_out_rows(spark):
     assert toxicity.assess(frame(spark, []), marks).count() == 0
 
 
+def test_toxicity_learns_a_repeated_document_once(spark):
+    docs, labels = labelled(n=120)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    once = toxicity.fit(frame(spark, docs), marks)
+    often = toxicity.fit(frame(spark, docs + [docs[7]] * 300 + [(None, "no id")]), marks)
+    assert (once.words == often.words).all() and np.allclose(once.weights, often.weights) and np.allclose(once.thresholds, often.thresholds)
+
+
 def test_ordinal_shares_weights_across_thresholds():
     rng = np.random.default_rng(0)
     x = rng.random((3000, 2))
