@@ -41,4 +41,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN c USING (rid) LEFT JOIN t USING (rid)
 """
 
-ORACLES: dict[str, str] = {"op6_chat_format": CHAT, "op7_near_duplicates": NEAR, "op8_decontamination": LEAKS}
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n_chars}", "text")) + ")"
+#: crc32 bit by bit over the digits; the first step only brings the start value in.
+_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda x, y: xor(x >> 1, CASE WHEN x & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END))))"""
+
+MERKLE = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, lang, {_LEAF.format(n_chars="n_chars")} AS leaf, CASE WHEN doc_id IS NOT NULL AND {_CRC} % 7 = 0 THEN {_LEAF.format(n_chars="n_chars + 1")} END AS t FROM documents),
+    p AS (SELECT rid, doc_id, leaf, t, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS j, count(*) OVER (PARTITION BY lang) AS c FROM d),
+    n(l, g, j, c, h) AS (SELECT 0, g, j, c, leaf FROM p UNION ALL SELECT l + 1, g, j // 2, (max(c) + 1) // 2, sha256(string_agg(h, '' ORDER BY j)) FROM n WHERE c > 1 GROUP BY l, g, j // 2),
+    s AS (SELECT g, l AS deep, h FROM n WHERE c = 1),
+    u(l, j, c, h) AS (SELECT 0, g, count(*) OVER (), h FROM s UNION ALL SELECT l + 1, j // 2, (max(c) + 1) // 2, sha256(string_agg(h, '' ORDER BY j)) FROM u WHERE c > 1 GROUP BY l, j // 2),
+    steps AS (SELECT p.rid, x.l, coalesce(n.h, '') AS h, (p.j >> x.l) & 1 = 1 AS before FROM p JOIN s USING (g) JOIN (SELECT DISTINCT l FROM n) x ON x.l < s.deep LEFT JOIN n ON n.l = x.l AND n.g = p.g AND n.j = xor(p.j >> x.l, 1)
+        UNION ALL SELECT p.rid, s.deep + x.l, coalesce(u.h, ''), (p.g >> x.l) & 1 = 1 FROM p JOIN s USING (g) JOIN (SELECT DISTINCT l FROM u WHERE c > 1) x ON true LEFT JOIN u ON u.l = x.l AND u.j = xor(p.g >> x.l, 1)),
+    proofs AS (SELECT rid, sha256(string_agg(h, '' ORDER BY l)) AS proof, max(l) AS top FROM steps GROUP BY 1),
+    f(rid, l, h) AS (SELECT rid, 0, coalesce(t, leaf) FROM p UNION ALL SELECT f.rid, f.l + 1, sha256(CASE WHEN before THEN steps.h || f.h ELSE f.h || steps.h END) FROM f JOIN steps ON steps.rid = f.rid AND steps.l = f.l),
+    e AS (SELECT rid, arg_max(h, l) AS h FROM f GROUP BY 1),
+    r AS (SELECT h AS root FROM u WHERE c = 1)
+SELECT doc_id, leaf, s.h AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256, e.h AS folded_root, e.h = root AS verified
+FROM p JOIN s USING (g) JOIN e USING (rid) LEFT JOIN proofs USING (rid) CROSS JOIN r
+"""
+
+ORACLES: dict[str, str] = {"op6_chat_format": CHAT, "op7_near_duplicates": NEAR, "op8_decontamination": LEAKS, "op13_merkle_manifest": MERKLE}

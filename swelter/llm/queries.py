@@ -10,11 +10,14 @@ from swelter.llm.common import read_table
 from swelter.llm.decontamination import decontaminate
 from swelter.llm.fuzzy_passages import fuzzy_passages
 from swelter.llm.licenses import scan
+from swelter.llm.manifest import manifest
 from swelter.llm.near_dedup import near_duplicates
 from swelter.llm.neighbours import search
 from swelter.llm.packing import pack
 from swelter.llm.quality import classify
 from swelter.llm.repeated_bytes import repeated_bytes
+from swelter.llm.token_alignment import alignment
+from swelter.llm.token_counts import token_counts
 from swelter.llm.toxicity import assess
 
 
@@ -70,4 +73,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_fuzzy_passages, op3_repeated_bytes, op4_toxicity, op5_license_scan, op6_chat_format, op7_near_duplicates, op8_decontamination, op9_nearest_neighbours, op10_quality)}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read_table(spark, sf_dir, "documents"), *tokenizer_files())
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_fuzzy_passages, op3_repeated_bytes, op4_toxicity, op5_license_scan, op6_chat_format, op7_near_duplicates, op8_decontamination, op9_nearest_neighbours, op10_quality, op11_token_alignment, op12_token_counts, op13_merkle_manifest)}
