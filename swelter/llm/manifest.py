@@ -7,7 +7,8 @@ holds 32-byte digests; texts are read once, for the leaves.
 
 Places come from ranges of the order (language, doc_id, leaf): each range numbers its own rows and moves them up by the rows before
 it, so that a language with a third of all rows lies in many tasks. Levels are written to the shared folder, so a lost executor
-costs one level at most. Levels, language tables and range counts of at most ``SMALL`` rows are broadcast; larger ones are joined by shuffles.
+costs one level at most. A level of at most ``SMALL`` nodes lies in one partition and is joined there; a table of at most ``SMALL``
+languages is broadcast.
 
 A leaf is the hash of doc_id, source, lang, n_chars and text, each ``-`` if null, else its UTF-8 byte count, ``:`` and itself.
 Rows with the same doc_id follow one another by their leaf; equal rows have equal leaves, and which of them comes first shows only
@@ -27,10 +28,12 @@ from pyspark.sql import functions as F
 
 from swelter.llm.common import durable
 
-#: Rows (of about 100 bytes, or 1 kB where they carry a proof) up to which a table is broadcast.
+#: Nodes (of about 100 bytes, or 2 kB where they carry a proof) that lie in one partition; languages up to which their table is broadcast.
 SMALL = 8192
 #: Rows of a task that numbers or joins nodes.
 TASK_ROWS = 250_000
+#: Levels that proofs come down within one plan.
+CUT = 4
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -70,24 +73,21 @@ def ranked(df: DataFrame, order: list[str]) -> DataFrame:
     return dealt.join(F.broadcast(before), "_p").select(*df.columns, (F.col("_k") + F.col("before")).alias("i"))
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= SMALL else df
-
-
 class Tree:
     """All levels of the trees of nodes (g, j, c, h): tree, place in it, nodes of it at this level, digest; further columns stay.
 
-    ``levels`` holds a table per level with ``s``, the array of the digests of a node's siblings from left to right, and how many
-    of them stand left of it; ``roots`` has (g, h)."""
+    ``heights`` are the levels at which trees end. ``levels`` holds a table per level with ``s``, the digests of a node's siblings from
+    left to right, and ``left``, how many of them stand left of it; ``roots`` has (g, h)."""
 
-    def __init__(self, nodes: DataFrame, rows: int, widest: int, trees: int, arity: int = 2):
-        self.arity, self.levels, self.sizes = arity, [], []
+    def __init__(self, nodes: DataFrame, rows: int, widest: int, trees: int, heights: set[int], arity: int = 2):
+        self.arity, self.heights, self.levels, self.sizes = arity, heights, [], []
         done = []
         while True:
-            level = durable(self._with_siblings(nodes, rows) if widest > 1 else nodes.withColumns({"s": F.array().cast("array<binary>"), "left": F.lit(0)}))
+            level = durable(self._with_siblings(nodes) if widest > 1 else nodes.withColumns({"s": F.array().cast("array<binary>"), "left": F.lit(0)}))
             self.levels.append(level)
             self.sizes.append(rows)
-            done.append(level.where("c = 1").select("g", "h"))
+            if len(self.levels) - 1 in heights:
+                done.append(level.where("c = 1").select("g", "h"))
             if widest <= 1:
                 break
             first = level.where((F.col("c") > 1) & (F.col("j") % arity == 0))
@@ -96,40 +96,51 @@ class Tree:
             widest = -(-widest // arity)
             rows = rows // arity + trees
             if rows <= TASK_ROWS:
-                nodes = nodes.coalesce(1 if rows <= SMALL else 4)
+                nodes = nodes.coalesce(1 if rows <= SMALL else 4)  # tables of one partition are joined where they lie
         self.roots = done[0]
         for more in done[1:]:
             self.roots = self.roots.unionByName(more)
 
-    def _with_siblings(self, nodes: DataFrame, rows: int) -> DataFrame:
+    def _with_siblings(self, nodes: DataFrame) -> DataFrame:
         """One equi-join for each other slot; a place beyond the last node of a tree finds nothing."""
         out, slot = nodes, F.col("j") % self.arity
         for k in range(1, self.arity):
             other = F.col("j").bitwiseXOR(F.lit(1)) if self.arity == 2 else F.col("j") - slot + (slot + k) % self.arity
-            found = _small(nodes.select("g", other.alias("j"), F.col("h").alias(f"_s{k}"), slot.alias(f"_at{k}")), rows)
-            out = out.join(found, ["g", "j"], "left")
+            found = nodes.select("g", other.alias("j"), F.col("h").alias(f"_s{k}"), slot.alias(f"_at{k}"))
+            out = out.join(found.hint("merge"), ["g", "j"], "left")
         beside = F.array(*(F.struct(F.col(f"_at{k}").alias("at"), F.col(f"_s{k}").alias("h")) for k in range(1, self.arity)))
         beside = F.array_sort(F.filter(beside, lambda x: x["h"].isNotNull()))
         out = out.withColumn("s", F.transform(beside, lambda x: x["h"])).withColumn("left", F.least(slot, F.size("s")).cast("int"))
         return out.drop(*(f"_{n}{k}" for k in range(1, self.arity) for n in ("s", "at")))
 
     def paths(self, above: DataFrame, trees: int) -> DataFrame:
-        """Each node of the lowest level with its ``path``, an array of (siblings, how many stand left) up to the root of its tree and on from there by ``above`` (g, path, further columns)."""
+        """Each node of the lowest level with its ``path``, an array of (siblings, how many stand left), up to the root of its tree and on
+        from there by ``above`` (g, path, further columns)."""
         carried = [c for c in above.columns if c not in ("g", "path")]
         tops = above.select("g", F.lit(-1).cast("long").alias("up"), "path", *carried)
         out, below = None, 0
-        for level, rows in zip(reversed(self.levels), reversed(self.sizes), strict=True):
-            up = tops
+        for k in reversed(range(len(self.levels))):
+            up = tops if k in self.heights else None
             if out is not None:
-                up = tops.unionByName(out.select("g", F.col("j").alias("up"), "path", *carried))
+                higher = out.select("g", F.col("j").alias("up"), "path", *carried)
+                up = higher if up is None else up.unionByName(higher)
             here = F.when(F.col("c") == 1, F.lit(-1).cast("long")).otherwise(F.floor(F.col("j") / self.arity))
             step = F.array(F.struct("s", "left"))
-            joined = level.withColumn("up", here).join(_small(up, below + trees), ["g", "up"])
+            if below + trees <= SMALL:
+                up = up.coalesce(1)
+            joined = self.levels[k].withColumn("up", here).join(up.hint("merge"), ["g", "up"])
             out = joined.withColumn("path", F.when(F.col("c") == 1, F.col("path")).otherwise(F.concat(step, "path"))).drop("up", "s", "left")
-            below = rows
+            if k and k % CUT == 0:
+                out = durable(out)
+            below = self.sizes[k]
         return out
 
 
+def height(c: Column, arity: int) -> Column:
+    """Levels above the leaves of a tree with c of them."""
+    return F.size(F.filter(F.array(*(F.lit(arity**k) for k in range(63) if arity**k < 1 << 62)), lambda x: x < c))
+
+
 def folded(leaf: Column, path: Column) -> Column:
     """The root that a leaf and the siblings on its path give."""
 
@@ -157,12 +168,14 @@ def manifest(docs: DataFrame, *, arity: int = 2) -> DataFrame:
     langs = durable(placed.groupBy("lang").agg(F.min("i").alias("first"), F.count("*").alias("c")))
     size = langs.agg(F.count("*"), F.max("c"), F.sum("c")).first()
     trees, widest, rows = size[0], size[1] or 0, size[2] or 0
+    ends = {r[0] for r in langs.select(height(F.col("c"), arity)).distinct().collect()}  # 63 at most
     # the first place of a language orders the languages as their names do
     groups = durable(ranked(langs, ["first"]).select("lang", "first", "c", F.col("i").alias("g")))
-    named = _small(groups.withColumnRenamed("lang", "_lang"), trees)
+    named = groups.withColumnRenamed("lang", "_lang")
+    named = F.broadcast(named) if trees <= SMALL else named
     nodes = placed.join(named, F.col("lang").eqNullSafe(F.col("_lang"))).select("doc_id", "t", "g", (F.col("i") - F.col("first")).alias("j"), "c", "h")
-    tree = Tree(nodes, rows, widest, trees, arity)
-    top = Tree(tree.roots.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("j"), F.lit(trees).cast("long").alias("c"), "h"), trees, trees, 1, arity)
+    tree = Tree(nodes, rows, widest, trees, ends, arity)
+    top = Tree(tree.roots.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("j"), F.lit(trees).cast("long").alias("c"), "h"), trees, trees, 1, {sum(arity**k < trees for k in range(63))}, arity)
     root = top.roots.select("g", F.array().cast("array<struct<s:array<binary>,left:int>>").alias("path"), F.col("h").alias("root"))
     tops = durable(top.paths(root, 1).select(F.col("j").alias("g"), "path", "root", F.col("h").alias("subroot")))
     out = tree.paths(tops, trees)
