@@ -18,6 +18,8 @@ are ignored.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,14 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swelter.llm.common import durable
+from swelter.llm.common import durable, shared_folder
 
 #: Nodes (of about 100 bytes, or 2 kB where they carry a proof) that lie in one partition; languages up to which their table is broadcast.
 SMALL = 8192
 #: Rows of a task that numbers or joins nodes.
 TASK_ROWS = 250_000
-#: Levels that proofs come down within one plan.
-CUT = 4
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -73,17 +73,25 @@ def ranked(df: DataFrame, order: list[str]) -> DataFrame:
     return dealt.join(F.broadcast(before), "_p").select(*df.columns, (F.col("_k") + F.col("before")).alias("i"))
 
 
+def written(df: DataFrame, one: bool) -> DataFrame:
+    """The frame as a table in the shared folder, of one partition if ``one``. A checkpoint would carry along what Spark knows of all levels before it."""
+    path = os.path.join(shared_folder(df.sparkSession), f"manifest-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    return table.coalesce(1) if one else table
+
+
 class Tree:
     """All levels of the trees of nodes (g, j, c, h): tree, place in it, nodes of it at this level, digest; further columns stay.
 
-    ``heights`` are the levels at which trees end. ``levels`` holds a table per level with ``s``, the digests of a node's siblings from
-    left to right, and ``left``, how many of them stand left of it; ``roots`` has (g, h)."""
+    ``heights`` are the levels at which trees end. ``levels`` holds a table per level with ``s``: a byte that says how many siblings
+    stand left of the node, and their digests from left to right. ``roots`` has (g, h)."""
 
     def __init__(self, nodes: DataFrame, rows: int, widest: int, trees: int, heights: set[int], arity: int = 2):
         self.arity, self.heights, self.levels, self.sizes = arity, heights, [], []
         done = []
         while True:
-            level = durable(self._with_siblings(nodes) if widest > 1 else nodes.withColumns({"s": F.array().cast("array<binary>"), "left": F.lit(0)}))
+            level = written(self._with_siblings(nodes) if widest > 1 else nodes.withColumn("s", F.lit(b"\0")), rows <= SMALL)
             self.levels.append(level)
             self.sizes.append(rows)
             if len(self.levels) - 1 in heights:
@@ -91,12 +99,12 @@ class Tree:
             if widest <= 1:
                 break
             first = level.where((F.col("c") > 1) & (F.col("j") % arity == 0))
-            parent = _digest(F.concat(_hex(F.col("h")), F.array_join(F.transform("s", _hex), "")))
+            parent = _digest(F.concat(_hex(F.col("h")), _hex(F.substring("s", 2, 1 << 30))))
             nodes = first.select("g", F.floor(F.col("j") / arity).alias("j"), F.ceil(F.col("c") / arity).alias("c"), parent.alias("h"))
             widest = -(-widest // arity)
             rows = rows // arity + trees
-            if rows <= TASK_ROWS:
-                nodes = nodes.coalesce(1 if rows <= SMALL else 4)  # tables of one partition are joined where they lie
+            if rows <= SMALL:
+                nodes = nodes.coalesce(1)  # tables of one partition are joined where they lie
         self.roots = done[0]
         for more in done[1:]:
             self.roots = self.roots.unionByName(more)
@@ -104,34 +112,32 @@ class Tree:
     def _with_siblings(self, nodes: DataFrame) -> DataFrame:
         """One equi-join for each other slot; a place beyond the last node of a tree finds nothing."""
         out, slot = nodes, F.col("j") % self.arity
-        for k in range(1, self.arity):
-            other = F.col("j").bitwiseXOR(F.lit(1)) if self.arity == 2 else F.col("j") - slot + (slot + k) % self.arity
-            found = nodes.select("g", other.alias("j"), F.col("h").alias(f"_s{k}"), slot.alias(f"_at{k}"))
+        others = range(1, self.arity)
+        for k in others:
+            place = F.col("j").bitwiseXOR(F.lit(1)) if self.arity == 2 else F.col("j") - slot + (slot + k) % self.arity
+            found = nodes.select("g", place.alias("j"), F.col("h").alias(f"_s{k}"), slot.alias(f"_at{k}"))
             out = out.join(found.hint("merge"), ["g", "j"], "left")
-        beside = F.array(*(F.struct(F.col(f"_at{k}").alias("at"), F.col(f"_s{k}").alias("h")) for k in range(1, self.arity)))
-        beside = F.array_sort(F.filter(beside, lambda x: x["h"].isNotNull()))
-        out = out.withColumn("s", F.transform(beside, lambda x: x["h"])).withColumn("left", F.least(slot, F.size("s")).cast("int"))
-        return out.drop(*(f"_{n}{k}" for k in range(1, self.arity) for n in ("s", "at")))
+        at = lambda t: F.coalesce(*(F.when(F.col(f"_at{k}") == t, F.col(f"_s{k}")) for k in others), F.lit(b""))
+        out = out.withColumn("s", F.concat(F.unhex(F.lpad(F.hex(slot), 2, "0")), *(at(t) for t in range(self.arity))))
+        return out.drop(*(f"_{n}{k}" for k in others for n in ("s", "at")))
 
     def paths(self, above: DataFrame, trees: int) -> DataFrame:
-        """Each node of the lowest level with its ``path``, an array of (siblings, how many stand left), up to the root of its tree and on
-        from there by ``above`` (g, path, further columns)."""
-        carried = [c for c in above.columns if c not in ("g", "path")]
-        tops = above.select("g", F.lit(-1).cast("long").alias("up"), "path", *carried)
+        """Each node of the lowest level with its ``path``, the siblings (as in ``levels``) of the nodes from it up to the root of its tree,
+        and on from there by ``above`` (g, path, further columns)."""
+        carried = ["path", *(c for c in above.columns if c not in ("g", "path"))]
+        tops = above.select("g", F.lit(-1).cast("long").alias("up"), *carried)
         out, below = None, 0
         for k in reversed(range(len(self.levels))):
             up = tops if k in self.heights else None
             if out is not None:
-                higher = out.select("g", F.col("j").alias("up"), "path", *carried)
+                higher = written(out.select("g", F.col("j").alias("up"), *carried), below <= SMALL)
                 up = higher if up is None else up.unionByName(higher)
-            here = F.when(F.col("c") == 1, F.lit(-1).cast("long")).otherwise(F.floor(F.col("j") / self.arity))
-            step = F.array(F.struct("s", "left"))
             if below + trees <= SMALL:
                 up = up.coalesce(1)
+            here = F.when(F.col("c") == 1, F.lit(-1).cast("long")).otherwise(F.floor(F.col("j") / self.arity))
             joined = self.levels[k].withColumn("up", here).join(up.hint("merge"), ["g", "up"])
-            out = joined.withColumn("path", F.when(F.col("c") == 1, F.col("path")).otherwise(F.concat(step, "path"))).drop("up", "s", "left")
-            if k and k % CUT == 0:
-                out = durable(out)
+            own = F.when(F.col("c") > 1, F.array("s")).otherwise(F.array().cast("array<binary>"))
+            out = joined.withColumn("path", F.concat(own, "path")).drop("up", "s")
             below = self.sizes[k]
         return out
 
@@ -145,9 +151,8 @@ def folded(leaf: Column, path: Column) -> Column:
     """The root that a leaf and the siblings on its path give."""
 
     def step(h: Column, x: Column) -> Column:
-        hexes = F.transform(x["s"], _hex)
-        before, after = F.slice(hexes, F.lit(1), x["left"]), F.slice(hexes, x["left"] + 1, F.size(hexes))
-        return _digest(F.concat(F.array_join(before, ""), _hex(h), F.array_join(after, "")))
+        left = 32 * F.conv(F.hex(F.substring(x, 1, 1)), 16, 10).cast("int")
+        return _digest(F.concat(_hex(F.substring(x, F.lit(2), left)), _hex(h), _hex(F.substring(x, left + 2, F.lit(1 << 30)))))
 
     return F.aggregate(path, leaf, step)
 
@@ -159,8 +164,8 @@ def tampered_row() -> Column:
 
 def manifest(docs: DataFrame, *, arity: int = 2) -> DataFrame:
     """One row per document: doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
-    if arity < 2:
-        raise ValueError("a node needs two children at least")
+    if not 2 <= arity <= 255:
+        raise ValueError("a node has 2 to 255 children")
     columns = {c: F.col(c) for c in FIELDS}
     changed = columns | {"n_chars": F.col("n_chars") + 1}
     leaves = docs.select("doc_id", "lang", leaf_digest(columns).alias("h"), F.when(tampered_row(), leaf_digest(changed)).alias("t"), F.monotonically_increasing_id().alias("r"))
@@ -168,6 +173,8 @@ def manifest(docs: DataFrame, *, arity: int = 2) -> DataFrame:
     langs = durable(placed.groupBy("lang").agg(F.min("i").alias("first"), F.count("*").alias("c")))
     size = langs.agg(F.count("*"), F.max("c"), F.sum("c")).first()
     trees, widest, rows = size[0], size[1] or 0, size[2] or 0
+    if not rows:
+        return docs.sparkSession.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
     ends = {r[0] for r in langs.select(height(F.col("c"), arity)).distinct().collect()}  # 63 at most
     # the first place of a language orders the languages as their names do
     groups = durable(ranked(langs, ["first"]).select("lang", "first", "c", F.col("i").alias("g")))
@@ -176,9 +183,9 @@ def manifest(docs: DataFrame, *, arity: int = 2) -> DataFrame:
     nodes = placed.join(named, F.col("lang").eqNullSafe(F.col("_lang"))).select("doc_id", "t", "g", (F.col("i") - F.col("first")).alias("j"), "c", "h")
     tree = Tree(nodes, rows, widest, trees, ends, arity)
     top = Tree(tree.roots.select(F.lit(0).cast("long").alias("g"), F.col("g").alias("j"), F.lit(trees).cast("long").alias("c"), "h"), trees, trees, 1, {sum(arity**k < trees for k in range(63))}, arity)
-    root = top.roots.select("g", F.array().cast("array<struct<s:array<binary>,left:int>>").alias("path"), F.col("h").alias("root"))
+    root = top.roots.select("g", F.array().cast("array<binary>").alias("path"), F.col("h").alias("root"))
     tops = durable(top.paths(root, 1).select(F.col("j").alias("g"), "path", "root", F.col("h").alias("subroot")))
     out = tree.paths(tops, trees)
-    proof = F.sha2(F.array_join(F.flatten(F.transform("path", lambda x: F.transform(x["s"], _hex))), ""), 256)
+    proof = F.sha2(F.array_join(F.transform("path", lambda x: _hex(F.substring(x, 2, 1 << 30))), ""), 256)
     out = out.withColumn("f", folded(F.coalesce("t", "h"), F.col("path")))
     return out.select("doc_id", _hex(F.col("h")).alias("leaf"), _hex(F.col("subroot")).alias("subroot"), _hex(F.col("root")).alias("root"), proof.alias("proof_sha256"), _hex(F.col("f")).alias("folded_root"), (F.col("f") == F.col("root")).alias("verified"))
