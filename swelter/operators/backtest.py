@@ -14,8 +14,8 @@ from swelter.operators.stats import METRIC_COLUMNS, with_seasons
 
 METRICS = ("avg_wetbulb", "max_wetbulb", "avg_wetbulb_avg", "max_wetbulb_avg")
 OVERALL_LIMIT, METRIC_LIMIT, COVERAGE = 1.02, 1.05, (0.75, 0.85)
-#: Bins in which scores are counted before those of one bin are ranked.
-BINS = 4096
+#: Of the sketches that bracket a quantile: ranks are right to one in so many.
+ACCURACY = 10_000
 
 
 def annual_metrics(daily: DataFrame) -> DataFrame:
@@ -63,25 +63,48 @@ def _standardised() -> Column:
     return F.abs(F.col("actual") - F.col("gmst")) / F.greatest((F.col("upper") - F.col("lower")) / 2, F.lit(sys.float_info.epsilon))
 
 
+def brackets(rows: DataFrame, keys: list[str], value: str, q: float, accuracy: int = ACCURACY) -> DataFrame:
+    """Per key the number of values and two of them, lo and hi, between which the ``q``-quantile lies.
+
+    Both come from one mergeable sketch with a rank error of at most ``n / accuracy``, so at most ``5 n / accuracy`` values (and what
+    equals lo or hi) lie between them."""
+    at = [max(0.0, q - 2 / accuracy), min(1.0, q + 2 / accuracy)]
+    found = rows.groupBy(*keys).agg(F.count(value).alias("n"), F.percentile_approx(value, at, accuracy).alias("_q"))
+    return found.where("n > 0").select(*keys, "n", F.col("_q")[0].alias("lo"), F.col("_q")[1].alias("hi"))
+
+
+def exact_quantiles(rows: DataFrame, keys: list[str], value: str, q: float, accuracy: int = ACCURACY) -> DataFrame:
+    """(keys, value, n): the value of rank ceil(q (n - 1)) from 0 among those of each key, which is one of them.
+
+    Values below a key's bracket are counted, those in it are added up by value before the shuffle, and only distinct values of the
+    bracket are put in order, so neither outliers nor ties gather in one task. Should a sketch miss the rank, its key is done
+    again with all values in the bracket. There must be few keys; nulls are passed over."""
+    rows = rows.where(F.col(value).isNotNull())
+    bounds = durable(brackets(rows, keys, value, q, accuracy))
+    wanted = F.ceil(F.round(q * (F.col("n") - 1), 9)) + 1
+
+    def chosen(bounds: DataFrame) -> DataFrame:
+        near = rows.join(F.broadcast(bounds), keys).where(F.col(value) <= F.col("hi"))  # a row for each key
+        counts = near.groupBy(*keys, "n", F.when(F.col(value) >= F.col("lo"), F.col(value)).alias(value)).agg(F.count("*").alias("_c"))
+        upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first(value)))
+        found = counts.withColumn("_u", upto).where((F.col("_u") >= wanted) & (F.col("_u") - F.col("_c") < wanted) & F.col(value).isNotNull())
+        return found.select(*keys, value, "n")
+
+    out = durable(chosen(bounds))
+    missed = bounds.join(out, keys, "left_anti")
+    if missed.take(1):
+        out = out.unionByName(chosen(missed.withColumns({"lo": F.lit(float("-inf")), "hi": F.lit(float("inf"))})))
+    return out
+
+
 def calibration_factors(cases: DataFrame, origins: DataFrame | int, *, q: float = 0.7, min_cases: int = 100) -> DataFrame:
     """Interval factors per origin and metric from the errors known by then, one case a group; at least 1."""
     at = cases.sparkSession.createDataFrame([(origins,)], "gate int") if isinstance(origins, int) else origins.select(F.col("origin").alias("gate"))
     known = cases.where("season = 'Annual'").join(F.broadcast(at), (F.col("origin") < F.col("gate")) & (F.col("year") <= F.col("gate")))
     first = Window.partitionBy("gate", "station_group", "origin", "year", "metric").orderBy("location_id")
     scores = known.withColumn("r", F.row_number().over(first)).where("r = 1").select("gate", "metric", _standardised().alias("score"))
-    # the q-quantile without interpolation, rounded up: rank ceil(q (n - 1)) from 0. Scores are counted in bins first, so that only those of the bin
-    # with that rank are put in order
-    scores = durable(scores)
-    keys = ["gate", "metric"]
-    span = scores.groupBy(*keys).agg(F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
-    of = F.coalesce(F.floor(F.try_divide(F.col("score") - F.col("low"), F.col("high") - F.col("low")) * (BINS - 1)), F.lit(0))
-    binned = scores.join(F.broadcast(span), keys).withColumn("bin", of)  # a row for each gate and metric
-    counts = binned.groupBy(*keys, "n", "bin").agg(F.count("*").alias("c"))
-    upto = F.sum("c").over(Window.partitionBy(*keys).orderBy("bin"))  # BINS rows at most
-    wanted = F.ceil(F.round(q * (F.col("n") - 1), 9)) + 1
-    target = counts.withColumn("upto", upto).where((F.col("upto") >= wanted) & (F.col("upto") - F.col("c") < wanted)).select(*keys, "bin", (wanted - F.col("upto") + F.col("c")).alias("i"))
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("score"))
-    picked = binned.join(F.broadcast(target), [*keys, "bin"]).withColumn("r", place).where("r = i").select(*keys, "score", "n")
+    # the q-quantile without interpolation, rounded up: rank ceil(q (n - 1)) from 0
+    picked = exact_quantiles(durable(scores), ["gate", "metric"], "score", q)
     factor = F.when(F.col("n") >= min_cases, F.greatest("score", F.lit(1.0))).otherwise(1.0)
     grid = at.crossJoin(cases.sparkSession.createDataFrame([(m,) for m in METRICS], "metric string"))
     return grid.join(picked.withColumn("f", factor), ["gate", "metric"], "left").select(F.col("gate").alias("origin"), "metric", F.coalesce("f", F.lit(1.0)).alias("factor"))

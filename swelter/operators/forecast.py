@@ -22,81 +22,136 @@ def _keys(series: DataFrame) -> list[str]:
     return [c for c in series.columns if c not in ("year", "value")]
 
 
-def trend_fit(series: DataFrame, *, degree: int = 1) -> DataFrame:
-    """Least squares of value on year, centred on the median year, per key; no row where it has no unique solution."""
+def _power_sums(x: Column, y: Column, degree: int, over=None) -> dict[str, Column]:
+    """Sums of powers of x, and of those times y, over the rows with a y: all that a fit needs, whichever way the rows are added up."""
+    x = F.when(y.isNotNull(), x)
+    terms = {f"s{k}": F.pow(x, F.lit(float(k))) for k in range(2 * degree + 1)} | {f"t{k}": F.pow(x, F.lit(float(k))) * y for k in range(degree + 1)}
+    return {c: F.sum(e).over(over) if over is not None else F.sum(e) for c, e in terms.items()}
+
+
+def _coefficients(name, degree: int) -> list[Column]:
+    """Constant, slope (and square) from the sums in the columns ``name(...)``; null without a unique solution."""
+    s, t = [F.col(name(f"s{k}")) for k in range(2 * degree + 1)], [F.col(name(f"t{k}")) for k in range(degree + 1)]
+
+    def determinant(a) -> Column:
+        if len(a) == 2:
+            return a[0][0] * a[1][1] - a[0][1] * a[1][0]
+        return sum((a[0][i] * determinant([[r[j] for j in range(3) if j != i] for r in a[1:]]) * (-1) ** i for i in range(3)), F.lit(0.0))
+
+    rows = [[s[i + j] for j in range(degree + 1)] for i in range(degree + 1)]
+    whole = determinant(rows)
+    solved = [determinant([[t[i] if j == k else rows[i][j] for j in range(degree + 1)] for i in range(degree + 1)]) for k in range(degree + 1)]
+    return [F.when((s[0] > degree) & (F.abs(whole) >= 1e-12), x / whole) for x in solved]
+
+
+def trend_states(rows: DataFrame, keys: list[str], metrics: list[str], *, degree: int = 1, min_train: int = 12) -> DataFrame:
+    """One row per key with what trends of its metrics need, from yearly rows (keys, year, metrics; null where a metric has no value).
+
+    For each metric m: m_n, m_last (year), m_ref (median year), m_c0, m_c1, m_c2 (around m_ref; null without a unique fit), m_rmse, and
+    of the errors of predicting each year after the first ``min_train`` from those before it their number and mean square, m_late and
+    m_late_sq. Fits come from power sums, the predictions from running ones in the order of years: one pass for all metrics."""
     if degree not in (1, 2):
         raise ValueError(f"degree {degree} is not supported")
+    key = Window.partitionBy(*keys)
+    before = key.orderBy("year").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select(*keys, "year", *metrics).withColumn("_c", F.round(F.avg("year").over(key))).withColumn("_x", F.col("year") - F.col("_c"))
+    powers = lambda a, x: sum((c * F.pow(x, F.lit(float(k))) for k, c in enumerate(a)), F.lit(0.0))
+    for m in metrics:
+        part = lambda c, m=m: f"_{m}_{c}"
+        rows = rows.withColumns({part(c): e for c, e in _power_sums(F.col("_x"), F.col(m), degree, before).items()})
+        late = F.when(F.coalesce(F.col(part("s0")), F.lit(0.0)) >= min_train, F.col(m) - powers(_coefficients(part, degree), F.col("_x")))
+        rows = rows.withColumn(part("e"), late).drop(*(part(c) for c in _power_sums(F.col("_x"), F.col(m), degree)))
+    sums = [F.first("_c").alias("_c")]
+    for m in metrics:
+        y = F.col(m)
+        year = F.when(y.isNotNull(), F.col("year"))
+        sums += [e.alias(f"_{m}_{c}") for c, e in _power_sums(F.col("_x"), y, degree).items()]
+        sums += [F.count(m).alias(f"{m}_n"), F.max(year).alias(f"{m}_last"), F.percentile(year, 0.5).alias(f"{m}_ref"), F.sum(y * y).alias(f"_{m}_yy")]
+        sums += [F.count(f"_{m}_e").alias(f"{m}_late"), F.avg(F.col(f"_{m}_e") * F.col(f"_{m}_e")).alias(f"{m}_late_sq")]
+    out = rows.groupBy(*keys).agg(*sums)
+    for m in metrics:
+        part = lambda c, m=m: f"_{m}_{c}"
+        out = out.withColumns({part(f"a{k}"): e for k, e in enumerate(_coefficients(part, degree))})
+        a = [F.col(part(f"a{k}")) for k in range(degree + 1)]
+        rest = F.col(f"_{m}_yy") - sum((c * F.col(part(f"t{k}")) for k, c in enumerate(a)), F.lit(0.0))
+        d = F.col(f"{m}_ref") - F.col("_c")
+        square = a[2] if degree == 2 else F.lit(0.0)
+        out = out.withColumns({f"{m}_c2": square, f"{m}_c1": a[1] + 2 * square * d, f"{m}_c0": powers(a, d), f"{m}_rmse": F.sqrt(F.greatest(F.lit(0.0), rest) / F.col(f"{m}_n"))})
+    kept = ("n", "last", "ref", "c0", "c1", "c2", "rmse", "late", "late_sq")
+    return out.select(*keys, *(f"{m}_{c}" for m in metrics for c in kept))
+
+
+def trend_fit(series: DataFrame, *, degree: int = 1) -> DataFrame:
+    """Least squares of value on year, centred on the median year, per key; no row where it has no unique solution."""
     keys = _keys(series)
-    centre = series.groupBy(*keys).agg(F.expr("percentile(year, 0.5)").alias("reference_year"))
-    x = series.join(centre, keys).withColumn("x", F.col("year") - F.col("reference_year"))
-    sums = {f"s{k}": F.sum(F.pow("x", F.lit(k))) for k in range(1, 2 * degree + 1)} | {f"t{k}": F.sum(F.pow("x", F.lit(k)) * F.col("value")) for k in range(degree + 1)}
-    sums |= {"n": F.count("value"), "yy": F.sum(F.col("value") * F.col("value"))}
-    m = x.groupBy(*keys, "reference_year").agg(*(e.alias(c) for c, e in sums.items())).where(F.col("n") > degree)
-    s1, s2, n, t0, t1 = (F.col(c) for c in ("s1", "s2", "n", "t0", "t1"))
-    if degree == 1:
-        det = n * s2 - s1 * s1
-        m = m.where(F.abs(det) >= 1e-12).withColumns({"coef2": F.lit(0.0), "coef1": (n * t1 - s1 * t0) / det})
-        m = m.withColumn("coef0", (t0 - F.col("coef1") * s1) / n)
-    else:
-        s3, s4, t2 = F.col("s3"), F.col("s4"), F.col("t2")
-        rows = ((s4, s3, s2), (s3, s2, s1), (s2, s1, n))
-
-        def determinant(a) -> Column:
-            return sum((a[0][i] * (a[1][(i + 1) % 3] * a[2][(i + 2) % 3] - a[1][(i + 2) % 3] * a[2][(i + 1) % 3]) for i in range(3)), F.lit(0.0))
-
-        right = (t2, t1, t0)
-        det = determinant(rows)
-        replaced = lambda k: determinant([[right[r] if c == k else rows[r][c] for c in range(3)] for r in range(3)])
-        m = m.where(F.abs(det) >= 1e-12).withColumns({f"coef{2 - k}": replaced(k) / det for k in range(3)})
-    fitted = F.col("coef2") * F.pow("x", F.lit(2)) + F.col("coef1") * F.col("x") + F.col("coef0")
-    model = m.select(*keys, "reference_year", "coef2", "coef1", "coef0", "n")
-    error = x.join(model.drop("reference_year", "n"), keys).groupBy(*keys).agg(F.sqrt(F.avg(F.pow(F.col("value") - fitted, 2))).alias("rmse"))
-    return model.join(error, keys).select(*keys, F.lit(degree).alias("degree"), "coef2", "coef1", "coef0", "reference_year", "rmse", F.col("n").cast("int").alias("n"))
-
-
-def rolling_origin_rmse(series: DataFrame, *, min_train: int = 12, min_errors: int = 5) -> DataFrame:
-    """Error of predicting each year from a line through all years before it; infinite with too few years or errors."""
+    out = trend_states(series, keys, ["value"], degree=degree).where("value_c1 is not null")
+    return out.select(*keys, F.lit(degree).alias("degree"), *(F.col(f"value_c{k}").alias(f"coef{k}") for k in (2, 1, 0)), F.col("value_ref").alias("reference_year"), F.col("value_rmse").alias("rmse"), F.col("value_n").cast("int").alias("n"))
+
+
+def _rolling_error(m: str, min_train: int = 12, min_errors: int = 5) -> Column:
+    good = (F.col(f"{m}_n") >= min_train + 3) & (F.col(f"{m}_late") >= min_errors)
+    return F.when(good, F.sqrt(f"{m}_late_sq")).otherwise(float("inf"))
+
+
+def rolling_origin_rmse(series: DataFrame, *, degree: int = 1, min_train: int = 12, min_errors: int = 5) -> DataFrame:
+    """Error of predicting each year from a fit to all years before it; infinite with too few years or errors."""
     keys = _keys(series)
-    order = Window.partitionBy(*keys).orderBy("year")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    line = F.regr_intercept("value", "year").over(before) + F.regr_slope("value", "year").over(before) * F.col("year")
-    errors = series.select(*keys, (F.col("value") - line).alias("e"), F.row_number().over(order).alias("i"))
-    late = F.when(F.col("i") > min_train, F.col("e"))
-    out = errors.groupBy(*keys).agg(F.count("*").alias("n"), F.count(late).alias("m"), F.sqrt(F.avg(late * late)).alias("r"))
-    good = (F.col("n") >= min_train + 3) & (F.col("m") >= min_errors)
-    return out.select(*keys, F.when(good, F.col("r")).otherwise(float("inf")).alias("cv_rmse"))
-
-
-def trend_forecast(series: DataFrame, *, end_year: int = 2100, min_years: int = 10, z: float = Z80) -> DataFrame:
-    """Linear trend per key carried to ``end_year`` with bands that widen for 25 years."""
+    out = trend_states(series, keys, ["value"], degree=degree, min_train=min_train)
+    return out.select(*keys, _rolling_error("value", min_train, min_errors).alias("cv_rmse"))
+
+
+#: Years after the last one between which the bend of a quadratic trend fades into its tangent.
+FADE = (15, 35)
+
+
+def _projected(m: str, degree: int, end_year: int, z: float) -> dict[str, Column]:
+    """wetbulb, lower and upper of a metric's trend in the column ``year``."""
+    year, last, ref = F.col("year"), F.col(f"{m}_last"), F.col(f"{m}_ref")
+    c0, c1, c2 = (F.col(f"{m}_c{k}") for k in range(3))
+    at = lambda y: c2 * F.pow(y - ref, F.lit(2.0)) + c1 * (y - ref) + c0
+    ahead = F.least(year - last, F.lit(25))
+    value, grown = at(year), 1 + ahead / 10.0
+    if degree == 2:
+        begin, end = (F.least(last + k, F.lit(end_year)) for k in FADE)
+        tangent = at(begin) + (year - begin) * (2 * c2 * (begin - ref) + c1)
+        weight = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.try_divide(year - begin, end - begin)))
+        value = F.when(begin < end, value * (1 - weight) + tangent * weight).otherwise(value)
+        grown = grown + F.pow(ahead / 30.0, F.lit(2.0))
+    cv = _rolling_error(m)
+    sigma = F.greatest(f"{m}_rmse", F.when(cv < float("inf"), cv).otherwise(0.0)) * F.sqrt(grown)
+    return {"wetbulb": rounded(value, 1), "lower": rounded(value - z * sigma, 1), "upper": rounded(value + z * sigma, 1)}
+
+
+def _forecast_rows(states: DataFrame, m: str, end_year: int, min_years: int) -> DataFrame:
+    good = (F.col(f"{m}_n") >= min_years) & F.col(f"{m}_c1").isNotNull() & (F.col(f"{m}_last") < end_year)
+    return states.where(good).withColumn("year", F.explode(F.sequence((F.col(f"{m}_last") + 1).cast("int"), F.lit(end_year))))
+
+
+def _described(m: str, degree: int) -> list[Column]:
+    slope = F.col(f"{m}_c1") + 2 * F.col(f"{m}_c2") * (F.col("year") - F.col(f"{m}_ref"))
+    return [F.lit("quadratic" if degree == 2 else "linear").alias("model_type"), F.col(f"{m}_n").cast("int").alias("full_years_used"), rounded(slope, 2).alias("warming_rate"), rounded(2 * F.col(f"{m}_c2"), 3).alias("acceleration")]
+
+
+def trend_forecast(series: DataFrame, *, degree: int = 1, end_year: int = 2100, min_years: int = 10, z: float = Z80) -> DataFrame:
+    """Trend per key carried to ``end_year`` with bands that widen for 25 years.
+
+    A quadratic trend bends for 15 years, then fades into its tangent there over 20 more; its bands widen faster."""
     keys = _keys(series)
-    last = series.groupBy(*keys).agg(F.max("year").alias("last_year"))
-    model = trend_fit(series).where(F.col("n") >= min_years).join(rolling_origin_rmse(series), keys).join(last, keys).where(F.col("last_year") < end_year)
-    years = model.withColumn("year", F.explode(F.sequence(F.col("last_year") + 1, F.lit(end_year))))
-    base = F.greatest("rmse", F.when(F.col("cv_rmse") < float("inf"), F.col("cv_rmse")).otherwise(0.0))
-    sigma = base * F.sqrt(1 + F.least(F.col("year") - F.col("last_year"), F.lit(25)) / 10.0)
-    value = F.col("coef1") * (F.col("year") - F.col("reference_year")) + F.col("coef0")
-    return years.select(
-        *keys,
-        F.col("year").cast("int").alias("year"),
-        rounded(value, 1).alias("wetbulb"),
-        rounded(value - z * sigma, 1).alias("lower"),
-        rounded(value + z * sigma, 1).alias("upper"),
-        F.lit("linear").alias("model_type"),
-        F.col("n").alias("full_years_used"),
-        rounded("coef1", 2).alias("warming_rate"),
-        F.lit(0.0).alias("acceleration"),
-    )
+    years = _forecast_rows(trend_states(series, keys, ["value"], degree=degree), "value", end_year, min_years)
+    return years.select(*keys, "year", *(e.alias(c) for c, e in _projected("value", degree, end_year, z).items()), *_described("value", degree))
+
 
+def trend_forecast_table(daily: DataFrame, *, statistic: str = "mean", degree: int = 1, end_year: int = 2100, min_years: int = 10, z: float = Z80) -> DataFrame:
+    """Trend forecasts of both metrics side by side; the second is null where it has too few years.
 
-def trend_forecast_table(daily: DataFrame, *, statistic: str = "mean") -> DataFrame:
-    """Trend forecasts of both metrics side by side; the second is null where it has too few years."""
-    q = yearly_qualified(daily, statistic=statistic)
-    keys = ["location_id", "season"]
-    of = lambda c: trend_forecast(q.where(F.col(c).isNotNull()).select(*keys, "year", F.col(c).alias("value")))
-    second = of("average_value").select(*keys, "year", *(F.col(c).alias(f"{c}_avg") for c in ("wetbulb", "lower", "upper")))
-    both = of("primary_value").join(second, [*keys, "year"], "left")
-    return both.select("location_id", "year", "season", "wetbulb", "lower", "upper", "wetbulb_avg", "lower_avg", "upper_avg", "model_type", "full_years_used", "warming_rate", "acceleration")
+    The daily table is read and shuffled once: both metrics' trends come from one pass over the years of a location."""
+    keys, metrics = ["location_id", "season"], ["primary_value", "average_value"]
+    states = trend_states(yearly_qualified(daily, statistic=statistic), keys, metrics, degree=degree)
+    years = _forecast_rows(states, "primary_value", end_year, min_years)
+    second = (F.col("average_value_n") >= min_years) & F.col("average_value_c1").isNotNull() & (F.col("average_value_last") < F.col("year"))
+    first = _projected("primary_value", degree, end_year, z)
+    beside = {f"{c}_avg": F.when(second, e) for c, e in _projected("average_value", degree, end_year, z).items()}
+    return years.select("location_id", "year", "season", *(e.alias(c) for c, e in (first | beside).items()), *_described("primary_value", degree))
 
 
 def gmst_fit(values: DataFrame, gmst: DataFrame, *, keys=("location_id", "season", "metric"), min_n: int = 10) -> DataFrame:

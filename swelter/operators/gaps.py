@@ -12,14 +12,34 @@ from swelter.operators.daily import daily_wetbulb
 FILL_SOURCES = ("nldas", "era5land", "giovanni")
 
 
-def missing_cells(locations: DataFrame, daily: DataFrame, *, start: datetime.date, end: datetime.date, as_of: datetime.date, lag_days: int = 5, include_fill: bool = False) -> DataFrame:
-    """City-days of the calendar without a row that has both metrics; the calendar ends ``lag_days`` before ``as_of``."""
+#: Days of a year as bits of so many 64-bit words.
+WORDS = 6
+
+
+def absent_days(locations: DataFrame, daily: DataFrame, *, start: datetime.date, end: datetime.date, as_of: datetime.date, lag_days: int = 5, include_fill: bool = False) -> DataFrame:
+    """(location_id, year, days): the days of the calendar without a row that has both metrics, for each location and year that lacks any.
+
+    The days that are there are added up as bits, so what is shuffled is a few words per location and year, and only absent bits become
+    days. The calendar ends ``lag_days`` before ``as_of``. Rows of the same id in ``locations`` give rows each; a null id has no days."""
     last = min(end, as_of - datetime.timedelta(days=lag_days))
-    cells = locations.select(F.col("id").alias("location_id"), F.explode(F.sequence(F.lit(start), F.lit(last))).alias("date")) if start <= last else locations.select(F.col("id").alias("location_id"), F.lit(start).alias("date")).limit(0)
-    have = daily.where("wetbulb is not null and wetbulb_avg is not null")
+    have = daily.where("wetbulb is not null and wetbulb_avg is not null").where(F.col("date").between(F.lit(start), F.lit(last)))
     if not include_fill and "source" in daily.columns:
         have = have.where(~F.coalesce(F.col("source").isin(*FILL_SOURCES), F.lit(False)))
-    return cells.join(have.select("location_id", "date"), ["location_id", "date"], "left_anti")
+    days = have.select("location_id", F.year("date").alias("year"), (F.dayofyear("date") - 1).alias("_n"))
+    words = [F.bit_or(F.when(F.floor(F.col("_n") / 64) == k, F.expr("shiftleft(1L, _n % 64)"))).alias(f"_w{k}") for k in range(WORDS)]
+    seen = days.groupBy("location_id", "year").agg(*words)
+    years = F.explode(F.sequence(F.lit(start.year), F.lit(last.year))) if start <= last else F.explode(F.array().cast("array<int>"))
+    wanted = locations.select(F.col("id").alias("location_id"), years.alias("year"))
+    calendar = F.sequence(F.greatest(F.make_date("year", F.lit(1), F.lit(1)), F.lit(start)), F.least(F.make_date("year", F.lit(12), F.lit(31)), F.lit(last)))
+    both = wanted.join(seen, ["location_id", "year"], "left").withColumn("_words", F.array(*(F.coalesce(f"_w{k}", F.lit(0).cast("long")) for k in range(WORDS)))).withColumn("_all", calendar)
+    absent = F.expr("filter(_all, d -> (shiftright(_words[int((dayofyear(d) - 1) / 64)], (dayofyear(d) - 1) % 64) & 1) = 0)")
+    return both.select("location_id", "year", absent.alias("days")).where(F.size("days") > 0)
+
+
+def missing_cells(locations: DataFrame, daily: DataFrame, *, start: datetime.date, end: datetime.date, as_of: datetime.date, lag_days: int = 5, include_fill: bool = False) -> DataFrame:
+    """City-days of the calendar without a row that has both metrics; the calendar ends ``lag_days`` before ``as_of``."""
+    gone = absent_days(locations, daily, start=start, end=end, as_of=as_of, lag_days=lag_days, include_fill=include_fill)
+    return gone.select("location_id", F.explode("days").alias("date"))
 
 
 def material_gaps(missing: DataFrame, *, min_missing_days: int = 19) -> DataFrame:
@@ -43,9 +63,36 @@ def fill_gaps(hourly: DataFrame, missing: DataFrame, *, source: str, min_daily_h
     return daily_wetbulb(hourly, min_daily_hours=min_daily_hours).join(missing, ["location_id", "date"], "left_semi").withColumn("source", F.lit(source))
 
 
-def span_recovery_report(ranges: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Per city, how many of the years in its gap ranges a snapshot (location_id, year) has."""
-    wanted = ranges.select("location_id", F.explode(F.sequence("start_year", "end_year")).alias("year"))
-    found = wanted.join(snapshot.select("location_id", "year", F.lit(1).alias("has")).distinct(), ["location_id", "year"], "left")
-    out = found.groupBy("location_id").agg(F.count("*").alias("expected"), F.count("has").alias("recovered"))
-    return out.withColumn("complete", F.col("expected") == F.col("recovered"))
+def recovered_spans(ranges: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """The gap ranges with ``recovered``: whether one span of the snapshot (location_id, start_year, end_year) contains the range.
+
+    A range is there whole or not at all: neither a span that ends inside it nor two spans beside one another count. Ranges and spans
+    are swept together in the order of their first year, so no pairs are made: a range is contained if a span that began by then
+    reaches its end. Of the spans that begin in one year only the longest is shuffled."""
+    spans = snapshot.groupBy("location_id", "start_year").agg(F.max("end_year").alias("_reach"))
+    both = ranges.withColumn("_reach", F.lit(None).cast("int")).unionByName(spans, allowMissingColumns=True)
+    order = Window.partitionBy("location_id").orderBy("start_year").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.max("_reach").over(order)
+    return both.withColumn("recovered", F.coalesce(reach >= F.col("end_year"), F.lit(False))).where("end_year is not null").drop("_reach")
+
+
+def span_recovery_report(ranges: DataFrame, snapshot: DataFrame, *, allow_partial: bool = False) -> DataFrame:
+    """Per city, how many of its gap ranges a snapshot of fetched spans has whole: location_id, expected, recovered, complete.
+
+    Unless partial recovery is allowed, a city with a range that is not there is an error."""
+    out = recovered_spans(ranges, snapshot).groupBy("location_id").agg(F.count("*").alias("expected"), F.count_if("recovered").alias("recovered"))
+    out = out.withColumn("complete", F.col("expected") == F.col("recovered"))
+    if not allow_partial:
+        lost = [r["location_id"] for r in out.where("not complete").orderBy("location_id").limit(6).collect()]
+        if lost:
+            raise ValueError(f"the snapshot lacks spans of locations {lost[:5]}{' and others' if len(lost) > 5 else ''}")
+    return out
+
+
+def recovered_cells(missing: DataFrame, snapshot: DataFrame, *, allow_partial: bool = False) -> DataFrame:
+    """The missing city-days that a snapshot can fill: those in gap ranges that it has whole. Without ``allow_partial``, all or an error."""
+    ranges = gap_year_ranges(missing)
+    if not allow_partial:
+        span_recovery_report(ranges, snapshot)
+    there = recovered_spans(ranges, snapshot).where("recovered").select("location_id", F.explode(F.sequence("start_year", "end_year")).alias("_y"))
+    return missing.withColumn("_y", F.year("date")).join(there, ["location_id", "_y"], "left_semi").select(*missing.columns)

@@ -27,6 +27,9 @@ FIXTURES: dict[str, str] = {
             CASE h % 5 WHEN 0 THEN 'eccc' WHEN 1 THEN 'ghcnh' WHEN 2 THEN 'isd' WHEN 3 THEN 'nldas' ELSE 'era5land' END AS source,
             CASE WHEN h % 5 < 3 THEN CAST(20 + h % 5 AS INT) END AS observed_hours
         FROM {dense_all} WHERE h >= 10 + k % 3 * 30""",
+    "snapshot_spans": """
+        SELECT location_id, CAST(min(y) AS INT) AS start_year, CAST(max(y) AS INT) AS end_year FROM (SELECT location_id, y, y - row_number() OVER (PARTITION BY location_id ORDER BY y) AS g
+            FROM (SELECT DISTINCT location_id, year(date) AS y FROM {dense_daily}) x WHERE (y + location_id) % 7 <> 0) z GROUP BY location_id, g""",
     "gmst_obs": "SELECT v AS year, CAST((v - 1990) * 25 + v * 37 % 11 * 10 AS DOUBLE) / 1000 AS anomaly FROM ([[ints 1990 2025]]) y",
     "scenario_rates": "SELECT 'ssp126' AS scenario, 10 AS rate UNION ALL SELECT 'ssp245', 20 UNION ALL SELECT 'ssp370', 30",
     "gmst_scen": "SELECT scenario, v AS year, CAST(900 + (v - 2025) * rate AS DOUBLE) / 1000 AS anomaly, CAST(0.1 AS DOUBLE) AS sigma_g FROM {scenario_rates} CROSS JOIN ([[ints 2026 2100]]) y",

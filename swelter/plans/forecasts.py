@@ -77,6 +77,24 @@ def _(t):
     return fc.trend_forecast(_series(t))
 
 
+#: A quadratic fit by covariances, its rolling errors by running ones, and the projection whose bend fades.
+_QUAD = "avg(x) {0} AS mx, avg(x * x) {0} AS mq, avg(value) {0} AS my, var_pop(x) {0} AS vx, var_pop(x * x) {0} AS vq, covar_pop(x, x * x) {0} AS cxq, covar_pop(x, value) {0} AS cxy, covar_pop(x * x, value) {0} AS cqy"
+_SOLVED = "(cqy * vx - cxy * cxq) / (vx * vq - cxq * cxq) AS c2, (cxy * vq - cqy * cxq) / (vx * vq - cxq * cxq) AS c1"
+FORECAST2 = f"""WITH se AS ({SERIES}), m AS (SELECT location_id, season, quantile_cont(year, 0.5) AS ref, max(year) AS last, count(*) AS n FROM se GROUP BY ALL), x AS (SELECT *, year - ref AS x FROM se JOIN m USING (location_id, season)),
+    f AS (SELECT *, {_SOLVED} FROM (SELECT location_id, season, ref, last, n, {_QUAD.format('')} FROM x GROUP BY ALL)), g AS (SELECT *, my - c1 * mx - c2 * mq AS c0 FROM f),
+    e AS (SELECT x.location_id, x.season, sqrt(avg(power(value - (c2 * x * x + c1 * x + c0), 2))) AS rmse FROM x JOIN g ON x.location_id = g.location_id AND x.season = g.season GROUP BY ALL),
+    ru AS (SELECT location_id, season, value, x, row_number() OVER (PARTITION BY location_id, season ORDER BY year) AS i, {_QUAD.format('OVER b')} FROM x WINDOW b AS (PARTITION BY location_id, season ORDER BY year ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    rl AS (SELECT *, {_SOLVED} FROM ru WHERE i > 12), cv AS (SELECT location_id, season, count(*) AS late, sqrt(avg(power(value - (c2 * x * x + c1 * x + my - c1 * mx - c2 * mq), 2))) AS cv FROM rl GROUP BY ALL),
+    y AS (SELECT g.*, CAST(year AS INT) AS year, greatest(rmse, CASE WHEN n >= 15 AND late >= 5 THEN cv ELSE 0 END) * sqrt(1 + least(year - last, 25) / 10.0 + power(least(year - last, 25) / 30.0, 2)) AS sigma, c2 * power(year - ref, 2) + c1 * (year - ref) + c0 AS raw,
+        least(last + 15, 2100) AS a, least(last + 35, 2100) AS z FROM g JOIN e USING (location_id, season) LEFT JOIN cv USING (location_id, season) JOIN (SELECT unnest(generate_series(1991, 2100)) AS year) ON year > last WHERE n >= 10 AND last < 2100),
+    v AS (SELECT *, CASE WHEN a < z THEN raw * (1 - least(1, greatest(0, (year - a) / (z - a)))) + (c2 * power(a - ref, 2) + c1 * (a - ref) + c0 + (year - a) * (2 * c2 * (a - ref) + c1)) * least(1, greatest(0, (year - a) / (z - a))) ELSE raw END AS v FROM y)"""
+
+
+@query("p3_trend_forecast_quadratic", f"{FORECAST2} SELECT location_id, season, year, {_BANDS.format('')}, 'quadratic' AS model_type, CAST(n AS INT) AS full_years_used, {r('c1 + 2 * c2 * (year - ref)', 2)} AS warming_rate, {r('2 * c2', 3)} AS acceleration FROM v")
+def _(t):
+    return fc.trend_forecast(_series(t), degree=2)
+
+
 def table_sql(agg: str) -> str:
     one, two = (f"SELECT location_id, season, year, {c} AS value FROM ({yearly_sql(agg)}) WHERE {c} IS NOT NULL" for c in ("primary_value", "average_value"))
     a = f"({trend_sql(one)} SELECT location_id, season, year, {_BANDS.format('')}, {_TAIL} FROM tf)"

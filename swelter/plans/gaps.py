@@ -54,14 +54,16 @@ def _(t):
     return gaps.fill_gaps(_hourly(t), wanted, source="nldas", min_daily_hours=12)
 
 
-SNAPSHOT = "SELECT location_id, year(date) AS year FROM {dense_daily} WHERE year(date) % 3 <> 0 GROUP BY 1, 2"
+#: A gap range is recovered if some fetched span contains it; spans are runs of up to six years.
+CONTAINED = f"SELECT r.*, EXISTS (SELECT 1 FROM {{snapshot_spans}} s WHERE s.location_id = r.location_id AND s.start_year <= r.start_year AND s.end_year >= r.end_year) AS there FROM ({RANGES}) r"
 
 
-@query(
-    "f5_span_recovery_report",
-    f"""WITH w AS (SELECT location_id, unnest(generate_series(start_year, end_year)) AS year FROM ({RANGES})), s AS ({SNAPSHOT})
-    SELECT w.location_id, count(*) AS expected, count(s.year) AS recovered, count(*) = count(s.year) AS complete FROM w LEFT JOIN s ON s.location_id = w.location_id AND s.year = w.year GROUP BY 1""",
-)
+@query("f5_span_recovery_report", f"SELECT location_id, count(*) AS expected, count(*) FILTER (there) AS recovered, bool_and(there) AS complete FROM ({CONTAINED}) GROUP BY 1")
 def _(t):
-    snapshot = t.dense_daily.select("location_id", F.year("date").alias("year")).where("year % 3 <> 0").distinct()
-    return gaps.span_recovery_report(_ranges(t), snapshot)
+    return gaps.span_recovery_report(_ranges(t), t.snapshot_spans, allow_partial=True)
+
+
+@query("f5_recovered_cells", f"SELECT location_id, date FROM ({MISSING_ALL}) m WHERE year(date) % 5 <> location_id % 5 AND EXISTS (SELECT 1 FROM ({CONTAINED}) c WHERE c.there AND c.location_id = m.location_id AND year(m.date) BETWEEN c.start_year AND c.end_year)")
+def _(t):
+    missing = _missing(t, True).where(F.year("date") % 5 != F.col("location_id") % 5)
+    return gaps.recovered_cells(missing, t.snapshot_spans, allow_partial=True)

@@ -3,26 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from swelter.functions.session import durable
-from swelter.operators.merge import pending_years, upsert_by_precedence, write_daily
-
-
-def merge_batch(batch: DataFrame, root: str) -> None:
-    """Upsert one batch by source precedence; only the years it touches are read and rewritten."""
-    spark = batch.sparkSession
-    years = sorted(r["y"] for r in batch.select(F.year("date").alias("y")).distinct().collect())  # a row for each calendar year
-    new = set(r["year"] for r in pending_years(spark, root, years).collect()) if years else set()
-    old = [y for y in years if y not in new]
-    columns = [c for c in batch.columns if c != "year"]
-    target = spark.read.parquet(root).where(F.col("year").isin(*old)).select(*columns) if old else batch.select(*columns).limit(0)
-    # the result is read from the partitions that it replaces, so it is written down first
-    write_daily(durable(upsert_by_precedence(target, batch.select(*columns))), root)
+from swelter.operators.merge import merge_partitions
 
 
 def merge_landed(spark: SparkSession, landing: str, root: str, checkpoint: str, *, schema: str = "location_id int, date date, wetbulb double, wetbulb_avg double, source string") -> StreamingQuery:
     """Start a run over all files that have landed since the last one; it ends by itself."""
     landed = spark.readStream.schema(schema).parquet(landing)
-    return landed.writeStream.foreachBatch(lambda batch, _: merge_batch(batch, root)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return landed.writeStream.foreachBatch(lambda batch, _: merge_partitions(root, batch)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

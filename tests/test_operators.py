@@ -261,3 +261,114 @@ def test_audits_on_small_frames(spark):
     assert rows(audit.coverage_by_year(one), "total_days", "station_days", "station_pct") == [(3, 2, 66.67)]
     stats_ = stats.year_stats(spark.createDataFrame([(1, D0, 10.0, 9.0), (1, day(1), 20.0, 8.0)], "location_id int, date date, wetbulb double, wetbulb_avg double"))
     assert rows(stats_.where("season = 'Annual'"), "avg_wetbulb", "max_wetbulb", "p10") == [(15.0, 20.0, 11.0)]
+
+
+SPAN = "location_id int, start_year int, end_year int"
+
+
+def test_spans_are_recovered_whole_or_not_at_all(spark):
+    """A range half covered, one covered by two spans side by side, one within a longer span, one from its first year, one of a city without any."""
+    ranges = spark.createDataFrame([(1, 2000, 2003), (1, 2010, 2011), (2, 2000, 2003), (3, 1995, 1995), (4, 2000, 2001)], SPAN)
+    fetched = spark.createDataFrame([(1, 2000, 2001), (1, 2008, 2015), (1, 2010, 2010), (2, 2000, 2001), (2, 2002, 2003), (3, 1995, 1999), (3, 1995, 1995)], SPAN)
+    got = rows(gaps.span_recovery_report(ranges, fetched, allow_partial=True), "location_id", "expected", "recovered", "complete")
+    assert got == [(1, 2, 1, False), (2, 1, 0, False), (3, 1, 1, True), (4, 1, 0, False)]
+    with pytest.raises(ValueError, match=r"\[1, 2, 4\]"):
+        gaps.span_recovery_report(ranges, fetched)
+    assert gaps.span_recovery_report(ranges.where("location_id = 3"), fetched).count() == 1
+
+
+def test_cells_of_recovered_spans(spark):
+    missing = spark.createDataFrame([(1, dt.date(y, 1, 2)) for y in (2000, 2001, 2005)] + [(2, dt.date(2000, 1, 2))], "location_id int, date date")
+    fetched = spark.createDataFrame([(1, 1999, 2001), (2, 2001, 2009)], SPAN)
+    with pytest.raises(ValueError):
+        gaps.recovered_cells(missing, fetched)
+    assert rows(gaps.recovered_cells(missing, fetched, allow_partial=True)) == [(1, dt.date(2000, 1, 2)), (1, dt.date(2001, 1, 2))]
+
+
+def test_day_sets_over_years(spark):
+    """Leap years, the first and last days of years, rows outside the calendar, repeated rows, repeated and null locations."""
+    there = {(1, D0 + dt.timedelta(n)) for n in range(0, 1200, 3)} | {(1, dt.date(y, m, d)) for y in (2020, 2021, 2022) for m, d in ((1, 1), (12, 31))} | {(1, dt.date(2020, 2, 29)), (1, dt.date(2031, 1, 1)), (1, dt.date(1970, 1, 1))}
+    have = spark.createDataFrame([(i, d, 1.0, 1.0) for i, d in there] * 2, "location_id int, date date, wetbulb double, wetbulb_avg double")
+    places = spark.createDataFrame([(1,), (1,), (2,), (None,)], "id int")
+    start, end = dt.date(2020, 1, 15), dt.date(2022, 12, 31)
+    calendar = [start + dt.timedelta(n) for n in range((end - start).days + 1)]
+    want = [(i, d) for i in (1, 1, 2, None) for d in calendar if (i, d) not in there]
+    got = gaps.missing_cells(places, have, start=start, end=end, as_of=dt.date(2026, 1, 1))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert gaps.missing_cells(places, have, start=end, end=start, as_of=end).count() == 0
+    plan = gaps.missing_cells(places, have, start=start, end=end, as_of=dt.date(2026, 1, 1))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 3 and "LeftAnti" not in plan
+    report = audit.validate_daily_coverage(places, have, start=start, end=end, as_of=dt.date(2026, 1, 1), sample=4).first()
+    assert (report.missing, report.affected, len(report.sample)) == (len(want), 2, 4)
+
+
+def test_years_with_broken_files_are_pending(spark, tmp_path):
+    shape = "location_id int, date date, wetbulb double, wetbulb_avg double"
+    root = tmp_path / "daily"
+    days = spark.createDataFrame([(i, dt.date(y, 1, 1), 1.0, 1.0) for y in range(2015, 2021) for i in range(30)], shape)
+    days.withColumn("year", F.year("date")).repartition(3, "location_id").write.partitionBy("year").parquet(str(root))
+    parts = lambda y: sorted((root / f"year={y}").glob("*.parquet"))
+    assert len(parts(2016)) > 1
+    parts(2016)[0].write_bytes(parts(2016)[0].read_bytes()[:-20])  # one of several is cut short
+    for p in parts(2017):
+        p.write_bytes(b"")
+    for p in parts(2018)[1:]:
+        p.unlink()
+    parts(2018)[0].write_bytes(b"PAR1 no footer PAR1")
+    (root / "year=2022").mkdir()
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"location_id": pa.array([], pa.int32())}), parts(2019)[0].parent / "part-none.parquet")  # whole, without rows
+    assert rows(merge.pending_years(spark, str(root), range(2014, 2023))) == [(2014,), (2016,), (2017,), (2018,), (2021,), (2022,)]
+    assert merge.pending_years(spark, str(root), range(2014, 2023), force=True).count() == 9
+
+
+def test_a_merge_touches_only_its_years(spark, tmp_path):
+    shape = "location_id int, date date, wetbulb double, wetbulb_avg double, source string"
+    root = tmp_path / "daily"
+    merge.merge_partitions(str(root), spark.createDataFrame([(1, dt.date(y, 1, 1), 1.0, 1.0, "isd") for y in range(2015, 2021)], shape))
+    names = lambda: {p.parent.name: {x.name for x in p.parent.iterdir()} for p in root.glob("*/*.parquet")}
+    before = names()
+    batch = spark.createDataFrame([(1, dt.date(2016, 1, 1), 2.0, 2.0, "eccc"), (1, dt.date(2017, 1, 1), 2.0, 2.0, "era5land"), (1, dt.date(2021, 1, 1), 2.0, 2.0, None)], shape)
+    merge.merge_partitions(str(root), batch)
+    after = names()
+    assert {y for y in after if after[y] != before.get(y)} == {"year=2016", "year=2017", "year=2021"}
+    assert {r.year: r.wetbulb for r in spark.read.parquet(str(root)).collect()} == {2015: 1.0, 2016: 2.0, 2017: 1.0, 2018: 1.0, 2019: 1.0, 2020: 1.0, 2021: 2.0}
+    plan = merge.touched_rows(spark.read.parquet(str(root)), batch)._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
+
+
+def test_quantiles_with_an_outlier_and_ties(spark):
+    """One score beyond all others must not gather them in one bin, nor equal scores in one task."""
+    rng = np.random.default_rng(0)
+    values = {"a": np.append(rng.random(20_000), 1e16), "b": np.repeat([1.0, 2.0, 3.0], 4000), "c": np.array([5.0]), "d": rng.random(7)}
+    frame = spark.createDataFrame([(k, float(v)) for k, vs in values.items() for v in vs] + [("a", None), ("e", None)], "k string, v double")
+    for q in (0.0, 0.3, 0.7, 1.0):
+        got = {r.k: (r.v, r.n) for r in backtest.exact_quantiles(frame, ["k"], "v", q).collect()}
+        assert got == {k: (float(np.quantile(vs, q, method="higher")), len(vs)) for k, vs in values.items()}
+    assert {r.k: r.v for r in backtest.exact_quantiles(frame, ["k"], "v", 0.7, accuracy=4).collect()} == {k: float(np.quantile(vs, 0.7, method="higher")) for k, vs in values.items()}
+    lo, hi = backtest.brackets(frame, ["k"], "v", 0.7).where("k = 'a'").select("lo", "hi").first()
+    assert 0 < ((values["a"] >= lo) & (values["a"] <= hi)).sum() <= 5 * 20_001 / backtest.ACCURACY + 2
+
+
+def test_trends_of_two_metrics_in_one_pass(spark):
+    """Against numpy, with years missing from one metric, a key with too few years, and one year only."""
+    rng = np.random.default_rng(4)
+    data = [(k, y, float(rng.normal(20 + 0.03 * (y - 1990) + 0.001 * (y - 2000) ** 2, 0.3)), None if (y * 7 + k) % 5 == 0 else float(rng.normal(15, 0.2))) for k, n in ((1, 36), (2, 13), (3, 1)) for y in range(1990, 1990 + n)]
+    frame = spark.createDataFrame(data, "k int, year int, a double, b double")
+    for degree in (1, 2):
+        got = {r.k: r for r in forecast.trend_states(frame, ["k"], ["a", "b"], degree=degree).collect()}
+        for k in (1, 2):
+            for at, m in ((2, "a"), (3, "b")):
+                pairs = [(r[1], r[at]) for r in data if r[0] == k and r[at] is not None]
+                x, y = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
+                c = np.polyfit(x - np.median(x), y, degree)[::-1]
+                assert got[k][f"{m}_n"] == len(x) and got[k][f"{m}_last"] == x.max() and got[k][f"{m}_ref"] == np.median(x)
+                assert np.allclose([got[k][f"{m}_c{i}"] for i in range(degree + 1)], c, atol=1e-8)
+                assert abs(got[k][f"{m}_rmse"] - np.sqrt(np.mean((np.polyval(c[::-1], x - np.median(x)) - y) ** 2))) < 1e-6
+                errors = [y[i] - np.polyval(np.polyfit(x[:i] - 2000, y[:i], degree), x[i] - 2000) for i in range(12, len(x))]
+                assert got[k][f"{m}_late"] == len(errors) and (not errors or abs(got[k][f"{m}_late_sq"] - np.mean(np.square(errors))) < 1e-6)
+        assert got[3].a_c1 is None
+    daily = spark.createDataFrame([(1, D0, 1.0, 1.0)], "location_id int, date date, wetbulb double, wetbulb_avg double")
+    assert forecast.trend_forecast_table(daily)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
