@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import os
 import uuid
 from functools import reduce
@@ -46,11 +47,12 @@ _OK = "CASE WHEN qc NOT IN (2, 3, 6, 7) THEN {0} END"
 _P = "CASE WHEN gap <> 0 THEN pp / 10.0 END AS station, CASE WHEN gap <> 1 THEN (pp + 50) / 10.0 END AS sea, (pp + 40) / 10.0 AS altimeter"
 
 
-@query(
-    "s2_hourly_ghcnh",
-    _rank_sql(f"SELECT station_id, t, elev, event_id % 4 AS priority, {_OK.format('tt / 10.0')} AS tair_c, dd / 10.0 AS dewpoint_c, {_P} FROM ({RAW}) WHERE event_id % 4 <> 3 AND dd <= tt + 10", "-6").replace("WHERE tair_c IS NOT NULL", "WHERE tair_c BETWEEN -80 AND 60 AND dewpoint_c BETWEEN -100 AND 40 AND tair_c IS NOT NULL"),
-)
-def _(t):
+_GHCNH = _rank_sql(f"SELECT station_id, t, elev, event_id % 4 AS priority, {_OK.format('tt / 10.0')} AS tair_c, dd / 10.0 AS dewpoint_c, {_P} FROM ({RAW}) WHERE event_id % 4 <> 3 AND dd <= tt + 10", "-6").replace("WHERE tair_c IS NOT NULL", "WHERE tair_c BETWEEN -80 AND 60 AND dewpoint_c BETWEEN -100 AND 40 AND tair_c IS NOT NULL")
+#: A moment within the events, in the middle of a UTC day; with an offset of -6 hours its local day has begun five hours and a half before.
+MOMENT = datetime.datetime(2024, 1, 15, 11, 30)
+
+
+def _ghcnh(t, **options):
     raw = _raw(t)
     report = F.element_at(F.lit(["FM15", " FM16", "FM12 ", "OTHER"]), (F.col("event_id") % 4 + 1).cast("int"))
     good = F.lit("1")
@@ -59,7 +61,17 @@ def _(t):
         "station_level_pressure": F.when(F.col("gap") != 0, F.col("pp") / 10), "station_level_pressure_Quality_Code": good, "sea_level_pressure": F.when(F.col("gap") != 1, (F.col("pp") + 50) / 10), "sea_level_pressure_Quality_Code": good, "altimeter": (F.col("pp") + 40) / 10, "altimeter_Quality_Code": good,
     }
     offsets = raw.select("station_id").distinct().withColumn("utc_offset_hours", F.lit(-6.0))
-    return _four(hourly.hourly_ghcnh(raw.select("station_id", *(e.alias(c) for c, e in cols.items())), offsets=offsets))
+    return _four(hourly.hourly_ghcnh(raw.select("station_id", *(e.alias(c) for c, e in cols.items())), offsets=offsets, **options))
+
+
+@query("s2_hourly_ghcnh", _GHCNH)
+def _(t):
+    return _ghcnh(t)
+
+
+@query("s2_hourly_ghcnh_before_today", f"SELECT * FROM ({_GHCNH}) WHERE CAST(time AS DATE) < CAST(TIMESTAMP '{MOMENT}' - INTERVAL 6 HOUR AS DATE)")
+def _(t):
+    return _ghcnh(t, as_of=MOMENT)
 
 
 def _isd(t):
@@ -103,16 +115,26 @@ def _(t):
     return _four(hourly.hourly_lcd(rows))
 
 
-@query(
-    "s5_hourly_eccc",
-    f"""WITH v AS (SELECT station_id, t - INTERVAL 5 HOUR AS time, CASE WHEN qc <> 5 THEN tt / 10.0 END AS a, dd / 10.0 AS b, CASE WHEN gap <> 0 THEN pp / 100.0 * 10 END AS c FROM ({RAW}))
-    SELECT station_id, time, {r('a', 4)} AS tair_c, {r('b', 4)} AS dewpoint_c, {r('c', 4)} AS pressure_hpa FROM (SELECT * FROM v WHERE a IS NOT NULL AND c IS NOT NULL QUALIFY row_number() OVER (PARTITION BY station_id, time ORDER BY a, b, c) = 1)""",
-)
-def _(t):
+_ECCC = f"""WITH v AS (SELECT station_id, t - INTERVAL 5 HOUR AS time, CASE WHEN qc <> 5 THEN tt / 10.0 END AS a, dd / 10.0 AS b, CASE WHEN gap <> 0 THEN pp / 100.0 * 10 END AS c FROM ({RAW}))
+    SELECT station_id, time, {r('a', 4)} AS tair_c, {r('b', 4)} AS dewpoint_c, {r('c', 4)} AS pressure_hpa FROM (SELECT * FROM v WHERE a IS NOT NULL AND c IS NOT NULL QUALIFY row_number() OVER (PARTITION BY station_id, time ORDER BY a, b, c) = 1)"""
+
+
+def _eccc(t, **options):
     p = F.struct(F.col("station_id").alias("STN_ID"), F.col("t").cast("string").alias("UTC_DATE"), (F.col("tt") / 10).alias("TEMP"), F.when(F.col("qc") == 5, "E").otherwise(" ").alias("TEMP_FLAG"), (F.col("dd") / 10).alias("DEW_POINT_TEMP"), (F.col("pp") / 100).alias("STATION_PRESSURE"), F.when(F.col("gap") == 0, "M").alias("STATION_PRESSURE_FLAG"))
     pages = _raw(t).groupBy("station_id", F.col("t").cast("date")).agg(F.collect_list(F.struct(p.alias("properties"))).alias("features"))
     offsets = _raw(t).select("station_id").distinct().withColumn("utc_offset_hours", F.lit(-5.0))
-    return _four(hourly.hourly_eccc(pages, offsets=offsets))
+    return _four(hourly.hourly_eccc(pages, offsets=offsets, **options))
+
+
+@query("s5_hourly_eccc", _ECCC)
+def _(t):
+    return _eccc(t)
+
+
+#: Rows of other years stay; of the moment's year only days before its local one.
+@query("s5_hourly_eccc_before_today", f"SELECT * FROM ({_ECCC}) WHERE year(time + INTERVAL 5 HOUR) <> {MOMENT.year} OR CAST(time AS DATE) < CAST(TIMESTAMP '{MOMENT}' - INTERVAL 5 HOUR AS DATE)")
+def _(t):
+    return _eccc(t, as_of=MOMENT)
 
 
 #: Long point series with fill values and different times per variable.
@@ -133,9 +155,15 @@ def _(t):
     return hourly.hourly_point_series(hourly.parse_point_series(files))[0]
 
 
-@query("s6_missing_share", f"WITH w AS (SELECT location_id, time, max(value) FILTER (WHERE var = 'Tair' AND value > -9000) AS a FROM ({_LONG}) GROUP BY 1, 2) SELECT location_id, {r('avg(CASE WHEN a IS NULL THEN 1.0 ELSE 0.0 END)', 6)} AS missing_share FROM w GROUP BY 1 HAVING avg(CASE WHEN a IS NULL THEN 1.0 ELSE 0.0 END) > 0.5")
+#: Points of which some lie on water: most of their Tair is fill.
+_WATER = f"SELECT location_id, var, time, CASE WHEN location_id % 3 = 1 AND hour(time) % 4 <> 0 THEN CAST(-9999 AS DOUBLE) ELSE value END AS value FROM ({_LONG})"
+
+
+@query("s6_missing_share", f"WITH w AS (SELECT location_id, time, max(value) FILTER (WHERE var = 'Tair' AND value > -9000) AS a FROM ({_WATER} WHERE var = 'Tair') GROUP BY 1, 2) SELECT location_id, {r('avg(CASE WHEN a IS NULL THEN 1.0 ELSE 0.0 END)', 6)} AS missing_share FROM w GROUP BY 1 HAVING avg(CASE WHEN a IS NULL THEN 1.0 ELSE 0.0 END) > 0.5")
 def _(t):
-    return hourly.hourly_point_series(_long(t))[1].withColumn("missing_share", rounded("missing_share", 6))
+    wet = (F.col("location_id") % 3 == 1) & (F.hour("time") % 4 != 0)
+    long = _long(t).where("var = 'Tair'").withColumn("value", F.when(wet, -9999.0).otherwise(F.col("value")))
+    return hourly.hourly_point_series(long)[1].withColumn("missing_share", rounded("missing_share", 6))
 
 
 _RE = f"SELECT CAST(event_id % 5 AS INT) AS location_id, t, (tt + 2731.5) / 10 AS a, (dd + 2731.5) / 10 AS d, CASE WHEN gap <> 0 THEN pp * 10.0 END AS p, event_id FROM ({RAW})"

@@ -57,6 +57,19 @@ def _(t):
     return daily.daily_wetbulb(_hourly(t))
 
 
+_C, _RH = "(tair - 273.15)", "(100 * (qair * psurf / 100 / (0.622 + 0.378 * qair)) / (6.112 * exp(17.67 * (tair - 273.15) / (tair - 273.15 + 243.5))))"
+STULL = f"{_C} * atan(0.151977 * sqrt({_RH} + 8.313659)) + atan({_C} + {_RH}) - atan({_RH} - 1.676331) + 0.00391838 * power({_RH}, 1.5) * atan(0.023101 * {_RH}) - 4.686035"
+
+
+@query(
+    "d1_daily_wetbulb_stull",
+    f"""SELECT location_id, CAST(time AS DATE) AS date, round_even(max(tw) * 10, 0) / 10 AS wetbulb, round_even(avg(tw) * 10, 0) / 10 AS wetbulb_avg, CAST(count(DISTINCT hour(time)) AS INT) AS observed_hours
+    FROM (SELECT *, {STULL} AS tw FROM ({HOURLY})) WHERE tw BETWEEN -50 AND 35 GROUP BY 1, 2 HAVING count(DISTINCT hour(time)) >= 12""",
+)
+def _(t):
+    return daily.daily_wetbulb(_hourly(t), min_daily_hours=12, with_hours=True, method="stull")
+
+
 @query("d2_location_hourly_from_station", f"SELECT location_id, station_id, CAST(time AS DATE) AS date, count(*) AS n, {r('sum(tair)', 3)} AS tair, {r('sum(qair)', 6)} AS qair, {r('sum(psurf)', 3)} AS psurf FROM ({FANNED}) GROUP BY 1, 2, 3")
 def _(t):
     rows = daily.location_hourly_from_station(t.hourly_obs.drop("location_id"), _map(t))

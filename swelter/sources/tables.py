@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from swelter.sources.hourly import number
 
-# Census state codes by FIPS number, provinces by StatCan number, municipal types, European countries and box.
+# Census state codes by FIPS number, provinces by StatCan number, legal suffixes of place names, European countries and box.
 STATES = dict(zip("01 04 05 06 08 09 10 11 12 13 16 17 18 19 20 21 22 23 24 25 26 27 28 29 30 31 32 33 34 35 36 37 38 39 40 41 42 44 45 46 47 48 49 50 51 53 54 55 56".split(), "AL AZ AR CA CO CT DE DC FL GA ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY".split(), strict=True))
 EXCLUDED_STATES = ("02", "15")
 PROVINCES = dict(zip("10 11 12 13 24 35 46 47 48 59 60 61 62".split(), "NL PE NS NB QC ON MB SK AB BC YT NT NU".split(), strict=True))
-SUFFIX = r"(?i)\s+(city|town|village|borough|municipality|CDP|urban county|unified government|consolidated government|metro government|metropolitan government)$"
+SUFFIXES = ("city", "town", "village", "borough", "municipality", "CDP", "urban county", "unified government", "consolidated government", "metro government", "metropolitan government")
+SUFFIX = rf"(?i)\s+({'|'.join(SUFFIXES)})$"
 EUROPE = "AT BE BG HR CY CZ DK EE FI FR DE GR HU IE IT LV LT LU MT NL PL PT RO SK SI ES SE GB CH".split()
 EUROPE_BOX = {"lat": (34.0, 72.0), "lng": (-25.0, 45.0)}
 GEONAMES = {1: "name", 4: "lat", 5: "lng", 6: "feature_class", 8: "country_code", 10: "admin1_code", 14: "population", 16: "dem_m", 17: "timezone"}
@@ -23,24 +24,34 @@ DIMENSIONS = {
     "forecast_station_groups": "location_id int, station_group string",
     "forecast_interval_calibration": "metric string, calibration_factor double",
 }
-KINDS = {"station": r"^wetbulb_batch_", "eccc": r"^wetbulb_eccc_batch_", "fill": r"^wetbulb_fill_batch_"}
-
-
-def read_daily(spark: SparkSession, root: str, *, start_year: int | None = None, end_year: int | None = None, kinds=("station", "eccc", "fill"), pattern: str = "wetbulb*_batch_*.parquet") -> DataFrame:
-    """The daily files under ``year=...`` folders, with the union of their columns.
-
-    A file without a source column gets one from its name; kinds choose files by name, years by folder."""
-    files = spark.read.option("mergeSchema", True).option("pathGlobFilter", pattern).parquet(root)
-    df = files.withColumn("_file", F.col("_metadata.file_name"))
-    if start_year is not None:
-        df = df.where(F.col("year") >= start_year)
-    if end_year is not None:
-        df = df.where(F.col("year") <= end_year)
-    known = F.when(F.col("_file").startswith("wetbulb_fill_"), "nldas").when(F.col("_file").startswith("wetbulb_eccc_"), "eccc").otherwise("isd")
-    source = F.coalesce(F.col("source"), known) if "source" in df.columns else known
-    if set(kinds) != set(KINDS):
-        df = df.where(F.col("_file").rlike("|".join(KINDS[k] for k in kinds)))
-    return df.withColumn("source", source).drop("_file")
+#: Columns of the daily files, in the widest types they were ever written with; files of any kind may lack some.
+_CORE = "location_id long, date date, wetbulb double, wetbulb_avg double, source string, observed_hours long"
+_STATION = f"{_CORE}, station_id string, reference_station_id string, station_distance_km double, station_elevation_difference_m double, station_quality string, homogenization_method string, homogenization_overlap_days long, wetbulb_adjustment double, wetbulb_avg_adjustment double"
+#: Kinds of daily files: the names of their files, their columns, and the source of rows that name none.
+KINDS = {
+    "station": ("wetbulb_batch_*.parquet", _STATION, "isd"),
+    "eccc": ("wetbulb_eccc_batch_*.parquet", _STATION, "eccc"),
+    "fill": ("wetbulb_fill_batch_*.parquet", _CORE, "nldas"),
+}
+
+
+def read_daily(spark: SparkSession, root: str, *, start_year: int | None = None, end_year: int | None = None, kinds=("station", "eccc", "fill"), pattern: str | None = None) -> DataFrame:
+    """The daily files under ``year=...`` folders, with the union of the kinds' columns; what a file lacks is null.
+
+    Each kind is a scan of its own files with a declared schema, so no footers are merged and other kinds are not opened; years are chosen
+    by folder. Rows without a source get that of their kind. ``pattern`` reads files of other names, all as station files."""
+    out = None
+    for glob, schema, known in [(pattern, _STATION, "isd")] if pattern else [KINDS[k] for k in kinds]:
+        df = spark.read.schema(schema).option("pathGlobFilter", glob).parquet(root)
+        if "year" not in df.columns:  # no file of this kind
+            df = df.withColumn("year", F.lit(None).cast("int"))
+        if start_year is not None:
+            df = df.where(F.col("year") >= start_year)
+        if end_year is not None:
+            df = df.where(F.col("year") <= end_year)
+        df = df.withColumns({"location_id": F.col("location_id").cast("int"), "source": F.coalesce("source", F.lit(known)), "year": F.col("year").cast("int")})
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 def clean_place_name(name: Column) -> Column:

@@ -372,3 +372,51 @@ def test_trends_of_two_metrics_in_one_pass(spark):
         assert got[3].a_c1 is None
     daily = spark.createDataFrame([(1, D0, 1.0, 1.0)], "location_id int, date date, wetbulb double, wetbulb_avg double")
     assert forecast.trend_forecast_table(daily)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_dense_stations_are_many_keys(spark):
+    """Nine tenths of the stations within one degree: the same pairs as without splitting, and no key has more than a few hundredths of them."""
+    rng = np.random.default_rng(2)
+    right = [(i, float(rng.uniform(45, 46)), float(rng.uniform(7, 8))) for i in range(1800)] + [(i, float(rng.uniform(-85, 85)), float(rng.uniform(-180, 180))) for i in range(1800, 2000)]
+    left = [(i, float(rng.uniform(44.5, 46.5)), float(rng.uniform(6, 9))) for i in range(60)] + [(60, 45.0, 7.0), (61, 80.0, 7.5)]
+    a, b = spark.createDataFrame(left, "i int, lat double, lng double"), spark.createDataFrame(right, "j int, r_lat double, r_lng double")
+    split, whole = (geo.near_pairs(a, b, max_km=60, crowded=n).select("i", "j", F.round("km", 9).alias("km")) for n in (50, 10**9))
+    assert rows(split) == rows(whole) and len(rows(whole)) > 1000
+    _, keyed = geo._keyed(a, b, max_km=60, crowded=50)
+    assert keyed.groupBy("_y", "_x", "_fy", "_fx").count().agg(F.max("count")).first()[0] < 2000 * 0.03
+
+
+def test_pairs_across_the_antimeridian_and_at_the_poles(spark):
+    left = [(0, 10.0, 179.9), (1, -10.0, -179.95), (2, 89.9, 10.0), (3, -89.95, -170.0), (4, 87.6, 179.0)]
+    right = [(0, 10.1, -179.9), (1, -10.0, 179.9), (2, 89.95, -170.0), (3, -89.9, 20.0), (4, 87.6, -179.0), (5, 0.0, 0.0)] * 30
+    a, b = spark.createDataFrame(left, "i int, lat double, lng double"), spark.createDataFrame(right, "j int, r_lat double, r_lng double")
+    for crowded in (10, 10**9):
+        got = geo.near_pairs(a, b, max_km=60, crowded=crowded).groupBy("i", "j").count().collect()
+        assert sorted(tuple(r) for r in got) == [(k, k, 30) for k in range(5)]
+
+
+def test_names_that_no_source_has_are_errors(spark):
+    place = "place_id string, city string, state string, country string, population long, lat double, lng double"
+    us, ca = spark.createDataFrame([("US1", "a", "S", "US", 5, 1.0, 1.0)], place), spark.createDataFrame([("CA1", "x", "P", "CA", 9, 1.0, 1.0)], place)
+    roster = lambda *names: spark.createDataFrame([(None, n, "S") for n in names], "place_id string, city string, state string")
+    metros = lambda *names: spark.createDataFrame([(n, n, "P", 7) for n in names], "metro_id string, city string, state string, metro_population long")
+    assert catalog.metro_candidates(us, us.limit(0), roster("a"), ca, metros("x")).count() == 2
+    with pytest.raises(ValueError, match="roster"):
+        catalog.metro_candidates(us, us.limit(0), roster("a", "gone"), ca, metros("x"))
+    with pytest.raises(ValueError, match="metropolitan"):
+        catalog.metro_candidates(us, us.limit(0), roster("a"), ca, metros("x", "gone"))
+    assert catalog.metro_candidates(us, us.limit(0), roster("gone"), ca, metros("gone"), allow_missing=True).count() == 0
+
+
+def test_kinds_of_daily_files_are_scanned_apart(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    for year, name, extra in ((2019, "wetbulb_batch_1", {"station_id": ["s"]}), (2020, "wetbulb_fill_batch_1", {"unknown": [1]}), (2020, "wetbulb_eccc_batch_1", {"source": ["eccc"], "observed_hours": pa.array([22], pa.int32())})):
+        (tmp_path / f"year={year}").mkdir(exist_ok=True)
+        pq.write_table(pa.table({"location_id": pa.array([1], pa.int32()), "date": [D0], "wetbulb": pa.array([1.5], pa.float32()), "wetbulb_avg": [1.0]} | extra), tmp_path / f"year={year}" / f"{name}.parquet")
+    fill = tables.read_daily(spark, str(tmp_path), kinds=("fill",))
+    assert [f.rsplit("/", 1)[1] for f in fill.inputFiles()] == ["wetbulb_fill_batch_1.parquet"]
+    got = {r.source: r for r in tables.read_daily(spark, str(tmp_path)).collect()}
+    assert {k: (r.location_id, r.wetbulb, r.observed_hours, r.station_id, r.year) for k, r in got.items()} == {"isd": (1, 1.5, None, "s", 2019), "nldas": (1, 1.5, None, None, 2020), "eccc": (1, 1.5, 22, None, 2020)}
+    assert tables.read_daily(spark, str(tmp_path), start_year=2021).count() == 0
