@@ -32,6 +32,8 @@ def absent_days(locations: DataFrame, daily: DataFrame, *, start: datetime.date,
     wanted = locations.select(F.col("id").alias("location_id"), years.alias("year"))
     calendar = F.sequence(F.greatest(F.make_date("year", F.lit(1), F.lit(1)), F.lit(start)), F.least(F.make_date("year", F.lit(12), F.lit(31)), F.lit(last)))
     both = wanted.join(seen, ["location_id", "year"], "left").withColumn("_words", F.array(*(F.coalesce(f"_w{k}", F.lit(0).cast("long")) for k in range(WORDS)))).withColumn("_all", calendar)
+    # few bytes become many rows, so the rows are dealt to all tasks, which partitions sized by bytes would not do
+    both = both.repartition(int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions")), "location_id", "year")
     absent = F.expr("filter(_all, d -> (shiftright(_words[int((dayofyear(d) - 1) / 64)], (dayofyear(d) - 1) % 64) & 1) = 0)")
     return both.select("location_id", "year", absent.alias("days")).where(F.size("days") > 0)
 

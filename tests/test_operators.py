@@ -297,7 +297,7 @@ def test_day_sets_over_years(spark):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     assert gaps.missing_cells(places, have, start=end, end=start, as_of=end).count() == 0
     plan = gaps.missing_cells(places, have, start=start, end=end, as_of=dt.date(2026, 1, 1))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") <= 3 and "LeftAnti" not in plan
+    assert plan.count("Exchange") <= 4 and "LeftAnti" not in plan
     report = audit.validate_daily_coverage(places, have, start=start, end=end, as_of=dt.date(2026, 1, 1), sample=4).first()
     assert (report.missing, report.affected, len(report.sample)) == (len(want), 2, 4)
 
