@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+from functools import reduce
+from operator import add
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,32 +18,41 @@ FILL_SOURCES = ("nldas", "era5land", "giovanni")
 WORDS = 6
 
 
-def absent_days(locations: DataFrame, daily: DataFrame, *, start: datetime.date, end: datetime.date, as_of: datetime.date, lag_days: int = 5, include_fill: bool = False) -> DataFrame:
-    """(location_id, year, days): the days of the calendar without a row that has both metrics, for each location and year that lacks any.
+def gap_years(locations: DataFrame, daily: DataFrame, *, start: datetime.date, end: datetime.date, as_of: datetime.date, lag_days: int = 5, include_fill: bool = False) -> DataFrame:
+    """(location_id, year, first, days, words, n_missing) for each location and year of the calendar that lacks days: the first day, the
+    number of days, and those that are there with both metrics as bits, from New Year's Day on.
 
-    The days that are there are added up as bits, so what is shuffled is a few words per location and year, and only absent bits become
-    days. The calendar ends ``lag_days`` before ``as_of``. Rows of the same id in ``locations`` give rows each; a null id has no days."""
+    Days are added up as bits, so what is shuffled is a few words per location and year. The calendar ends ``lag_days`` before ``as_of``.
+    Rows of the same id in ``locations`` give rows each; a null id has no days."""
     last = min(end, as_of - datetime.timedelta(days=lag_days))
     have = daily.where("wetbulb is not null and wetbulb_avg is not null").where(F.col("date").between(F.lit(start), F.lit(last)))
     if not include_fill and "source" in daily.columns:
         have = have.where(~F.coalesce(F.col("source").isin(*FILL_SOURCES), F.lit(False)))
     days = have.select("location_id", F.year("date").alias("year"), (F.dayofyear("date") - 1).alias("_n"))
-    words = [F.bit_or(F.when(F.floor(F.col("_n") / 64) == k, F.expr("shiftleft(1L, _n % 64)"))).alias(f"_w{k}") for k in range(WORDS)]
-    seen = days.groupBy("location_id", "year").agg(*words)
+    word, bit = F.shiftright("_n", 6), F.expr("shiftleft(1L, _n % 64)")
+    seen = days.groupBy("location_id", "year").agg(*(F.bit_or(F.when(word == k, bit)).alias(f"_w{k}") for k in range(WORDS)))
     years = F.explode(F.sequence(F.lit(start.year), F.lit(last.year))) if start <= last else F.explode(F.array().cast("array<int>"))
     wanted = locations.select(F.col("id").alias("location_id"), years.alias("year"))
-    calendar = F.sequence(F.greatest(F.make_date("year", F.lit(1), F.lit(1)), F.lit(start)), F.least(F.make_date("year", F.lit(12), F.lit(31)), F.lit(last)))
-    both = wanted.join(seen, ["location_id", "year"], "left").withColumn("_words", F.array(*(F.coalesce(f"_w{k}", F.lit(0).cast("long")) for k in range(WORDS)))).withColumn("_all", calendar)
-    # few bytes become many rows, so the rows are dealt to all tasks, which partitions sized by bytes would not do
-    both = both.repartition(int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions")), "location_id", "year")
-    absent = F.expr("filter(_all, d -> (shiftright(_words[int((dayofyear(d) - 1) / 64)], (dayofyear(d) - 1) % 64) & 1) = 0)")
-    return both.select("location_id", "year", absent.alias("days")).where(F.size("days") > 0)
+    words = [F.coalesce(f"_w{k}", F.lit(0).cast("long")) for k in range(WORDS)]
+    first = F.greatest(F.make_date("year", F.lit(1), F.lit(1)), F.lit(start))
+    total = F.date_diff(F.least(F.make_date("year", F.lit(12), F.lit(31)), F.lit(last)), first) + 1
+    there = reduce(add, (F.bit_count(w) for w in words))
+    both = wanted.join(seen, ["location_id", "year"], "left")
+    return both.select("location_id", "year", first.alias("first"), total.alias("days"), F.array(*words).alias("words"), (total - there).alias("n_missing")).where("n_missing > 0")
+
+
+def absent_dates(years: DataFrame) -> DataFrame:
+    """(location_id, date) of the days that are missing in rows of :func:`gap_years`."""
+    each = years.select("location_id", "first", "words", (F.dayofyear("first") - 1).alias("_from"), F.explode(F.sequence(F.lit(0), F.col("days") - 1)).alias("_k"))
+    free = F.expr("(shiftright(words[int(shiftright(_from + _k, 6))], (_from + _k) % 64) & 1) = 0")
+    return each.where(free).select("location_id", F.date_add("first", F.col("_k")).alias("date"))
 
 
 def missing_cells(locations: DataFrame, daily: DataFrame, *, start: datetime.date, end: datetime.date, as_of: datetime.date, lag_days: int = 5, include_fill: bool = False) -> DataFrame:
     """City-days of the calendar without a row that has both metrics; the calendar ends ``lag_days`` before ``as_of``."""
-    gone = absent_days(locations, daily, start=start, end=end, as_of=as_of, lag_days=lag_days, include_fill=include_fill)
-    return gone.select("location_id", F.explode("days").alias("date"))
+    years = gap_years(locations, daily, start=start, end=end, as_of=as_of, lag_days=lag_days, include_fill=include_fill)
+    # few bytes become many rows, so the rows are dealt to all tasks, which partitions sized by bytes would not do
+    return absent_dates(years.repartition(int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions")), "location_id", "year"))
 
 
 def material_gaps(missing: DataFrame, *, min_missing_days: int = 19) -> DataFrame:
