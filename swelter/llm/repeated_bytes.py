@@ -220,7 +220,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     indexed = dealt.mapInArrow(lambda it: _indexed(it, length), "k1 long, k2 long, s long, e long")
     hashed = durable(found.where("large").mapInArrow(lambda it: _windows(it, length), "k1 long, k2 long, at long, h long"))
     windows = durable(hashed.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    again = _again(hashed, windows, ["h"], hashed.count() / HOT).select("k1", "k2", F.col("at").alias("s"), (F.col("at") + length).alias("e"))
+    again = _again(hashed, windows, ["h"], hashed.count() / HOT)
+    # windows that start in one stretch of ``length`` bytes overlap, so together they cover one span
+    again = again.groupBy("k1", "k2", F.expr(f"at div {length}")).agg(F.min("at").alias("s"), (F.max("at") + length).alias("e")).select("k1", "k2", "s", "e")
     marks = wholly.union(indexed).union(again)
     return marks.groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "e")).alias("marks"))
 
