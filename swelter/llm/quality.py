@@ -152,15 +152,26 @@ def fit(features: DataFrame, labels: DataFrame, *, label: str = "quality", shrin
     return discriminant(got[:, 0], got[:, 1 : 1 + size], got[:, 1 + size :].reshape(2, size, size), shrink, ridge)
 
 
-def score(docs: DataFrame, model: Discriminant) -> DataFrame:
-    """The documents with their ``score``; only the text goes to Python and only the score comes back."""
+def featurized(docs: DataFrame, name: str) -> DataFrame:
+    """The documents with their statistics, an array of doubles, in the column ``name``."""
+
+    @F.arrow_udf("array<double>")
+    def of(text: pa.Array) -> pa.Array:
+        x = statistics(*text_buffer(text))
+        return pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(FEATURES)).cast(pa.list_(pa.float64()))
+
+    return small_batches(docs).withColumn(name, of("text"))
+
+
+def score(docs: DataFrame, model: Discriminant, features: str) -> DataFrame:
+    """The documents with their ``score``, from the statistics in the column ``features``; the texts do not go to Python."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
-    def scored(text: pa.Array) -> pa.Array:
-        return pa.array(sent.value.scores(statistics(*text_buffer(text))))
+    def scored(x: pa.Array) -> pa.Array:
+        return pa.array(sent.value.scores(x.flatten().to_numpy().reshape(-1, len(FEATURES))))
 
-    return small_batches(docs).withColumn("score", scored("text"))
+    return docs.withColumn("score", scored(features))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
