@@ -16,7 +16,7 @@ from swelter.llm.common import read_table, shared_folder
 from swelter.llm.decontamination import decontaminate
 from swelter.llm.near_dedup import NearDuplicates, text_hash
 from swelter.llm.packing import pack
-from swelter.llm.quality import THRESHOLD, featurized, fit, score
+from swelter.llm.quality import THRESHOLD, featurize, fit, fold, score
 from swelter.llm.queries import tokenizer_files
 from swelter.llm.repeated_bytes import remove_repeats
 
@@ -28,12 +28,10 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    # the statistics of every text are taken once and kept beside it, so that no text is shuffled
-    path = os.path.join(shared_folder(spark), f"quality-{uuid.uuid4().hex}")
-    featurized(docs.select(*COLUMNS), "x").write.parquet(path)
-    rows = spark.read.parquet(path)
-    model = fit(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "x"), read_table(spark, sf_dir, "labels"))
-    return score(rows, model, "x").where(F.col("score") >= THRESHOLD).select(*COLUMNS)
+    # learned from the training folds alone; texts are read twice rather than written or shuffled with their statistics
+    known = docs.where(fold(F.col("doc_id").cast("long")) != 0)
+    model = fit(featurize(known), read_table(spark, sf_dir, "labels"))
+    return score(docs.select(*COLUMNS), model).where(F.col("score") >= THRESHOLD).select(*COLUMNS)
 
 
 def no_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
