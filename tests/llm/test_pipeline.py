@@ -70,3 +70,25 @@ def test_stages(spark, base):
 def test_run_and_contract(spark, base):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "repeated_bytes", "decontamination", "packing"]
     assert corpus_pipeline.run(spark, base[0]).count() > 0
+
+
+CLASHING = ("x", "score", "k", "marks", "contaminated", "once")
+
+
+@pytest.mark.parametrize("n", [0, 6])
+def test_empty_tables_and_clashing_columns(spark, tmp_path, n):
+    """No labels and no benchmark: nothing is rejected; extra columns named like inner ones are ignored, no documents give no pieces."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, words(rng, 70 + i), "en", "s", 5, *("clash" for _ in CLASHING)) for i in range(n)]
+    put = lambda name, data, shape: spark.createDataFrame(data, shape).write.parquet(f"{tmp_path}/{name}.parquet")
+    put("documents", rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in CLASHING))
+    put("labels", [], "doc_id long, quality int, toxic int")
+    put("benchmark", [], "item_id long, text string")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == COLUMNS
+        assert sorted((r.doc_id, r.text) for r in out.collect()) == [r[:2] for r in rows]
+    assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == list(range(n))
