@@ -157,9 +157,13 @@ def hourly_reanalysis(raw: DataFrame, offsets: DataFrame | None = None, *, style
 
 
 def hourly_grid_at_points(grid: DataFrame, points: DataFrame, *, fill: float = FILL) -> DataFrame:
-    """The hours of each point's cell; a point without a cell (-1) has the times of the grid with nulls."""
+    """The hours of each point's cell; a point without a cell (-1) has the times of the grid with nulls. Times that are null are none."""
     real = {c: F.when(F.col(c) > fill, F.col(c)) for c in ("Tair", "Qair", "PSurf")}
-    inside = grid.join(points.select("location_id", "iy", "ix"), ["iy", "ix"]).withColumns(real)
+    inside = grid.where("time is not null").join(points.select("location_id", "iy", "ix"), ["iy", "ix"]).withColumns(real)
     columns = ["location_id", "time", *real]
-    outside = points.where("iy < 0 or ix < 0").select("location_id").crossJoin(F.broadcast(grid.select("time").distinct())).select("location_id", "time", *(F.lit(None).cast("double").alias(c) for c in real))
+    # a day's times travel as one row, so that the points meet days, by key, and no list of all times is sent to every task
+    days = grid.where("time is not null").groupBy(F.to_date("time").alias("day")).agg(F.collect_set("time").alias("times"))
+    period = grid.agg(F.expr("sequence(to_date(min(time)), to_date(max(time)))")).scalar()
+    outside = points.where("iy < 0 or ix < 0").select("location_id", period.alias("period")).select("location_id", F.explode("period").alias("day")).join(days, "day")
+    outside = outside.select("location_id", F.explode("times").alias("time"), *(F.lit(None).cast("double").alias(c) for c in real))
     return inside.select(*columns).unionByName(outside)

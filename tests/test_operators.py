@@ -197,6 +197,29 @@ def test_unique_claims_follow_population(spark):
     assert rows(stations_, "location_id", "station_id") == sorted(want, key=str) and kept.count() == len(want)
 
 
+def test_claims_that_wait_for_each_other(spark):
+    """Each city but the first wants its larger neighbour's station before its own, so one city is decided a round."""
+    n = 7
+    cities = spark.createDataFrame([(i, 40.0 + i, -100.0, 1000 - i) for i in range(n)], "location_id int, lat double, lng double, population long")
+    ranked = spark.createDataFrame([(i, f"s{s}", k + 1, 1.0) for i in range(n) for k, s in enumerate([i - 1, i] if i else [0])], "location_id int, station_id string, station_rank int, dist_km double")
+    avail = spark.createDataFrame([(f"s{s}", 2020) for s in range(n)], "station_id string, year int")
+    _, stations_ = catalog.claim_unique(cities, ranked, avail, start_year=1990, end_year=2020)
+    assert rows(stations_, "location_id", "station_id") == sorted([(i, f"s{i}") for i in range(n)], key=str)
+    twice = cities.unionByName(cities.withColumn("population", F.col("population") + 1))
+    with pytest.raises(ValueError, match="several rows"):
+        catalog.claim_unique(twice, ranked, avail, start_year=1990, end_year=2020)
+
+
+def test_points_without_a_cell_have_the_times_of_the_grid(spark):
+    hours = [None, *(dt.datetime(2020, 1, d, h) for d, h in ((1, 0), (1, 23), (4, 5)))]  # two days without hours
+    grid = spark.createDataFrame([(iy, 0, t, 280.0 + iy, 0.01, -9999.0) for iy in (0, 1) for t in hours], "iy int, ix int, time timestamp_ntz, Tair double, Qair double, PSurf double")
+    points = spark.createDataFrame([(1, 1, 0), (2, -1, -1), (3, -1, 0)], "location_id int, iy int, ix int")
+    got = hourly.hourly_grid_at_points(grid, points)
+    assert rows(got) == sorted([(1, t, 281.0, 0.01, None) for t in hours[1:]] + [(i, t, None, None, None) for i in (2, 3) for t in hours[1:]], key=str)
+    assert not any(w in got._jdf.queryExecution().optimizedPlan().toString() for w in ("Cross", "Cartesian"))
+    assert rows(hourly.hourly_grid_at_points(grid.limit(0), points)) == []
+
+
 def test_ranks_across_ranges(spark):
     places = [(f"p{i:03}", (i * 37 % 20) * 100 if i % 9 else None) for i in range(200)]
     got = catalog.by_population(spark.createDataFrame(places, "place_id string, population long").repartition(7)).collect()

@@ -12,7 +12,7 @@ from swelter.plans import registry
 
 DIR = "/root/testdata/sf0.001"
 #: One or two of each area; the driver runs them all at a larger scale.
-NAMES = ("v2_year_stats", "v5_city_rankings", "p2_rolling_origin_rmse", "p9_gmst_forecast", "d4_candidate_daily", "c3_homogenize_stations", "f3_gap_year_ranges", "l4_upsert_by_precedence", "g1_rank_station_candidates", "g5_snap_to_land", "k1_metro_candidates", "q4_duplicate_series", "s3_hourly_isd", "v3_yearly_qualified", "v3_yearly_qualified_max", "v4_unpivot_metrics", "q8_check_rules", "q8_check_rules_values", "l1_write_daily", "g7_match_city_centers", "g7_match_city_centers_overrides", "k3_claim_unique", "b7_bootstrap_ratios", "s1_read_daily_inferred", "s12_read_station_inventory_geojson", "s13_read_dimensions_all", "f1_missing_cells", "f5_span_recovery_report", "f5_recovered_cells", "q7_validate_daily_coverage", "l2_pending_years", "l4_merge_partitions", "b3_calibration_factors", "p3_trend_forecast_quadratic", "p4_trend_forecast_table", "q8_check_rules_faults", "g5_snap_to_land_outward", "s2_hourly_ghcnh_before_today", "s5_hourly_eccc_before_today", "s6_missing_share", "d1_daily_wetbulb_stull", "k5_station_groups")
+NAMES = ("v2_year_stats", "v5_city_rankings", "p2_rolling_origin_rmse", "p9_gmst_forecast", "d4_candidate_daily", "c3_homogenize_stations", "f3_gap_year_ranges", "l4_upsert_by_precedence", "g1_rank_station_candidates", "g5_snap_to_land", "k1_metro_candidates", "q4_duplicate_series", "s3_hourly_isd", "v3_yearly_qualified", "v3_yearly_qualified_max", "v4_unpivot_metrics", "q8_check_rules", "q8_check_rules_values", "l1_write_daily", "g7_match_city_centers", "g7_match_city_centers_overrides", "k3_claim_unique", "b7_bootstrap_ratios", "s1_read_daily_inferred", "s12_read_station_inventory_geojson", "s13_read_dimensions_all", "f1_missing_cells", "f5_span_recovery_report", "f5_recovered_cells", "q7_validate_daily_coverage", "l2_pending_years", "l4_merge_partitions", "b3_calibration_factors", "p3_trend_forecast_quadratic", "p4_trend_forecast_table", "q8_check_rules_faults", "g5_snap_to_land_outward", "s2_hourly_ghcnh_before_today", "s5_hourly_eccc_before_today", "s6_missing_share", "d1_daily_wetbulb_stull", "k5_station_groups", "s8_hourly_grid_at_points")
 
 
 @pytest.fixture(scope="module")
