@@ -11,7 +11,8 @@ shards of a few hundred to eight thousand vectors; data with structure reaches i
 the work grows with queries times vectors.
 
 Vectors that are null, all zero, or hold a null or non-finite number take no part, nor do rows without an id or vectors of
-another dimension than most; exact repeats of a row count once. Fewer candidates than asked for are all returned. Extra
+another dimension than most; exact repeats of a row count once. Unequal vectors of one id are none of each other's neighbours;
+as queries they give one list together. Fewer candidates than asked for are all returned. Extra
 columns are ignored.
 """
 

@@ -157,6 +157,14 @@ def test_neighbours(spark):
     assert neighbours.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_neighbours_of_ids_with_several_vectors(spark):
+    """Rows of one id are rows of their own: neither is a neighbour of the other, and both answer for a query's id."""
+    rows = [(0, [0.0, 1.0]), (0, [9.0, 1.0]), (1, [0.0, 2.0]), (2, [9.0, 3.0]), (2, [9.0, 3.0]), (2, [50.0, 1.0])]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).orderBy("rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in got][:2] == [(0, 1, 1, 1.0), (0, 2, 2, 2.0)]
+    assert all(r.vec_id != 0 for r in got) and [r.rank for r in got] == list(range(1, len(got) + 1))
+
+
 def test_neighbours_of_isotropic_vectors_in_several_shards(spark):
     rng = np.random.default_rng(3)
     x = rng.standard_normal((1500, 64))

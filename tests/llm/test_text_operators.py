@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import os
 import re
 import zlib
 
@@ -16,6 +17,7 @@ from swelter.llm.components import components
 from swelter.llm.queries import tokenizer_files
 from swelter.llm.run_index import RunIndex
 
+DIR = "/root/testdata/sf0.001"
 PLAIN, BLANK = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+"), re.compile("[^\x20\x09-\x0d]+")
 
 
@@ -256,6 +258,16 @@ def test_packing_over_several_levels(spark):
     assert max(pieces.values()) == 1 and len({r.doc_id for r in got}) == len(rows)
 
 
+def test_packing_a_text_of_millions_of_tokens(spark):
+    """All pieces but the first are full and stand alone; the rest of the sequences hold the short texts."""
+    n = 2_500_000
+    got = packing.pack(frame(spark, [(1, "a b " * (n // 2)), (2, None), (3, "short")]), *tokenizer_files()).collect()
+    own = sorted((r.piece, r.start, r.length) for r in got if r.doc_id == 1)
+    assert [p for p, *_ in own] == list(range(len(own))) and all(x == 1024 for *_, x in own[1:])
+    assert all(s + x == t for (_, s, x), (_, t, _) in zip(own, own[1:], strict=False)) and own[-1][1] + own[-1][2] > n
+    assert len({r.sequence_id for r in got}) <= -(-sum(r.length for r in got) // 1024) + 1
+
+
 # --- fuzzy passages
 
 
@@ -278,6 +290,39 @@ def test_fuzzy_passages(spark):
     assert got[400].n_repeated == 120 and got[201].partners == [200]
 
 
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="the driver's tables are not here")
+def test_fuzzy_passages_against_brute_force(spark):
+    """Every document with 50 words in a row that another one has is found, at those words; every passage has words of other places."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    texts = {r.doc_id: PLAIN.findall(lower(r.text)) for r in docs.collect()}
+    runs, short = collections.defaultdict(set), collections.Counter()
+    for doc, w in texts.items():
+        for k in range(len(w) - 49):
+            runs[tuple(w[k : k + 50])].add((doc, k))
+        short.update({tuple(w[k : k + 4]) for k in range(len(w) - 3)} if len(w) > 3 else ())
+    exact = [place for places in runs.values() if len({doc for doc, _ in places}) > 1 for place in places]
+    got = {r.doc_id: r for r in fuzzy_passages.fuzzy_passages(docs).collect()}
+    assert len({doc for doc, _ in exact}) > 20
+    assert all(any(s.s < k + 50 and s.e > k for s in got[doc].spans) for doc, k in exact)
+    inside = sum(sum(max(0, min(s.e, k + 50) - max(s.s, k)) for s in got[doc].spans) for doc, k in exact)
+    assert inside >= 0.95 * 50 * len(exact)
+    for r in got.values():
+        assert r.n_words == len(texts[r.doc_id]) and r.n_repeated == sum(s.e - s.s for s in r.spans)
+        for s in r.spans:
+            w = texts[r.doc_id][s.s : s.e]
+            common = {k + j for k in range(len(w) - 3) if short[tuple(w[k : k + 4])] > 1 or r.partners == [r.doc_id] for j in range(4)}
+            assert len(w) >= 45 and len(common) >= 0.4 * len(w)
+
+
+def test_fuzzy_passages_of_a_very_long_text(spark):
+    """A text of 300,000 words that holds a passage of a short one near its end."""
+    rng = np.random.default_rng(4)
+    long, passage = [f"v{i}" for i in rng.integers(0, 1 << 40, 300_000)], [f"p{i}" for i in range(80)]
+    rows = [(1, " ".join(long[:290_000] + passage + long[290_000:])), (2, " ".join(["x", *passage, "y"])), (3, " ".join(long[:30]))]
+    got = {r.doc_id: r for r in fuzzy_passages.fuzzy_passages(frame(spark, rows)).collect()}
+    assert set(got) == {1, 2} and got[1].n_words == 300_080 and [(s.s, s.e) for s in got[1].spans] == [(290_000, 290_080)]
+
+
 def test_chains_prefer_collinear_matches():
     x = np.array([0, 10, 20, 30, 40, 15, 25])
     y = np.array([100, 110, 120, 130, 140, 10, 500])
