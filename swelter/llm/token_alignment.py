@@ -5,6 +5,9 @@ end alike, the following ones mostly do too, so stretches of one-to-one tokens a
 comparison of two slices of the end arrays; the last probe is halved to the first difference. What differs is resolved locally, by
 advancing the side that is behind until both end at one offset; this gives a group of several tokens and a new shift.
 
+Before that, texts are cut at every space between two characters that are no white space. Neither vocabulary has a token across such
+a place (see :func:`cut`), so the ids of a part do not depend on its text, and each worker encodes a part that it has met only once.
+
 Links are counted in two steps, none of which gathers a pair's rows: every block of texts counts its pairs, sums are added up by
 pair, and each block gets the sums of its own pairs back. Blocks hold ``BLOCK_BYTES`` of text (one longer text makes a block of its
 own). A pair's count is the number of rows that hold it linked, so repeated rows count each.
@@ -15,7 +18,9 @@ Extra columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +36,8 @@ from swelter.llm.common import durable, small_batches, text_buffer
 BLOCK_BYTES, PROBE = 8 << 20, 2
 #: Ids of the second vocabulary lie below 2**15 and those of the first below 2**16, so a pair is a positive 32-bit number.
 SHIFT = 15
+#: Characters of a part and of all parts that a worker keeps the ids of; when they are full, it starts anew.
+PART, KEPT = 40, 6 << 20
 
 ALIGNED = "doc_id long, block long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
 
@@ -38,8 +45,8 @@ ALIGNED = "doc_id long, block long, n_a long, n_b long, n_groups long, n_links l
 class Side:
     """A vocabulary as what alignment needs: ids of a text, and the bytes of an id."""
 
-    def __init__(self, encode, pieces: list[bytes]):
-        self.encode, self.pieces = encode, pieces
+    def __init__(self, encode, pieces: list[bytes], parted: bool = True):
+        self.encode, self.pieces, self.parted = encode, pieces, parted
         self.sizes = np.array([len(p) for p in pieces], np.int64)
         self.table = np.array(pieces, object)
 
@@ -73,11 +80,80 @@ def sentence_pieces(model: str) -> Side:
     processor = sentencepiece.SentencePieceProcessor(model_file=model)
     if processor.vocab_size() > 1 << SHIFT:
         raise ValueError(f"the second vocabulary may have {1 << SHIFT} ids")
-    pieces = []
+    pieces, parted = [], _merges_only(processor)
     for k in range(processor.vocab_size()):
         piece = processor.id_to_piece(k)
+        parted &= "▁" not in piece.lstrip("▁")
         pieces.append(bytes([int(piece[3:5], 16)]) if processor.is_byte(k) else piece.replace("▁", " ").encode())
-    return Side(lambda text: processor.encode(text), pieces)
+    return Side(lambda text: processor.encode(text), pieces, parted)
+
+
+def _merges_only(processor) -> bool:
+    """Whether the model joins neighbours by pieces alone (BPE), and changes no text before it does."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    model = sentencepiece_model_pb2.ModelProto()
+    model.ParseFromString(processor.serialized_model_proto())
+    rules, trained = model.normalizer_spec, model.trainer_spec
+    plain = not (rules.precompiled_charsmap or rules.remove_extra_whitespaces) and rules.add_dummy_prefix and rules.escape_whitespaces
+    usual = {model.SentencePiece.NORMAL, model.SentencePiece.BYTE, model.SentencePiece.CONTROL, model.SentencePiece.UNKNOWN}
+    return plain and trained.model_type == trained.BPE and not trained.treat_whitespace_as_suffix and all(p.type in usual for p in model.pieces)
+
+
+#: Python's white space holds all that the byte-level pattern takes for it.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+
+
+def cut(text: str) -> list[str]:
+    """The parts of a text; a space and a part in turn are the text with a space ahead.
+
+    The byte-level pattern never goes on over a space that follows something else: only a pre-token of white space holds one inside,
+    and a single one before something else opens the next pre-token or is one. In pieces a space stands for U+2581, which stands
+    first in them only, so no merge crosses it from the left."""
+    return _CUT.split(text)
+
+
+class Encoder:
+    """The ids of texts on both sides. Parts that are not known yet are encoded together, in one call for each text and side."""
+
+    def __init__(self, a: Side, b: Side):
+        self.sides = (a, b)
+        self.parted = a.parted and b.parted
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
+        self.held = 0
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """None where the tokens of a side do not give the text again."""
+        parts = cut(text) if self.parted else [text]
+        first, second = self.known
+        new = [p for p in dict.fromkeys(parts) if p not in first]
+        if self.held > KEPT:
+            self.clear()
+            first, second = self.known
+            new = list(dict.fromkeys(parts))
+        if new:
+            raw = [b" " + p.encode() for p in new]
+            whole, ends = b"".join(raw), np.cumsum([len(x) for x in raw])
+            for side, known in zip(self.sides, self.known, strict=True):
+                ids = np.array(side.encode(" ".join(new)), np.int32)
+                if side.joined(ids) != whole:
+                    for k in self.known:
+                        for p in new:
+                            k.pop(p, None)
+                    return None
+                upto = [0, *(np.searchsorted(side.ends(ids), ends, "right") * 4).tolist()]
+                flat = ids.tobytes()
+                known.update((p, flat[s:e]) for p, s, e in zip(new, upto, upto[1:], strict=False))
+        out = tuple(np.frombuffer(b"".join(map(known.__getitem__, parts)), np.int32) for known in self.known)
+        for p in new:
+            if len(p) > PART:
+                del first[p], second[p]
+            else:
+                self.held += len(p) + 1
+        return out
 
 
 def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,12 +245,19 @@ def unpacked_links(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(numbers[:half]), numbers[half:]
 
 
+@functools.lru_cache(maxsize=1)
+def _loaded(ranks: str, model: str) -> tuple[Encoder, Written]:
+    """What a worker keeps from one task to the next."""
+    a, b = byte_level(ranks), sentence_pieces(model)
+    return Encoder(a, b), Written(len(a.pieces), len(b.pieces))
+
+
 def aligned(docs: DataFrame, ranks: str, model: str, *, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row per document: its tokens, groups and links, and the block whose pairs are counted together."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = byte_level(ranks), sentence_pieces(model)
-        write, block, held = Written(len(a.pieces), len(b.pieces)), TaskContext.get().partitionId() << 32, 0
+        encode, write = _loaded(ranks, model)
+        block, held = TaskContext.get().partitionId() << 32, 0
         nothing = (0, 0, 0, 0, "", None)
         for batch in batches:
             data, offsets = text_buffer(batch.column(1))
@@ -185,15 +268,15 @@ def aligned(docs: DataFrame, ranks: str, model: str, *, block_bytes: int = BLOCK
                     block, held = block + 1, 0
                 held += len(raw)
                 blocks.append(block)
-                rows.append(_one(raw, a, b, write) if raw else nothing)
+                rows.append(_one(raw, encode, write) if raw else nothing)
             columns = [pa.array([x[k] for x in rows], kind) for k, kind in enumerate((*[pa.int64()] * 4, pa.string(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(blocks, pa.int64()), *columns], ["doc_id", "block", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"])
 
-    def _one(raw: bytes, a: Side, b: Side, write: Written) -> tuple:
-        text = raw.decode()
-        ids_a, ids_b = np.array(a.encode(text), np.int32), np.array(b.encode(text), np.int32)
-        if b.joined(ids_b) != b" " + raw or a.joined(ids_a) != b" " + raw:
+    def _one(raw: bytes, encode: Encoder, write: Written) -> tuple:
+        if (ids := encode(raw.decode())) is None:
             return (0, 0, 0, 0, "", None)
+        ids_a, ids_b = ids
+        a, b = encode.sides
         ends_a, ends_b = a.ends(ids_a), b.ends(ids_b)
         upto_a, upto_b = groups(ends_a, ends_b)
         codes = links(ids_a, ids_b, ends_a, ends_b, upto_a, upto_b)

@@ -228,3 +228,26 @@ def test_alignment_of_a_long_text(spark):
     rows = [(1, "a" * 60000), (2, " " * 30000), (3, words(rng, 180_000))]
     got = {r.doc_id: r for r in token_alignment.alignment(frame(spark, rows), *alignment_files()).collect()}
     assert all(r.n_links == r.n_a + r.n_b - r.n_groups and r.n_groups for r in got.values())
+
+
+def test_alignment_encodes_a_part_once(monkeypatch):
+    """Ids of parts are those of whole texts, whatever white space, and whether the parts are known, too long to keep, or dropped."""
+    rng = random.Random(11)
+    a, b = token_alignment.byte_level(alignment_files()[0]), token_alignment.sentence_pieces(alignment_files()[1])
+    sizes, side = [], a.encode
+    encode = token_alignment.Encoder(token_alignment.Side(lambda t: sizes.append(len(t)) or side(t), a.pieces), b)
+    monkeypatch.setattr(token_alignment, "KEPT", 2000)
+    pieces = [" ", "  ", "\n", "\t", "\u3000", "\xa0", "\x1c", "\x85", "'s", "'", "don't", "the", "1234", "...", "<s>", "</s>", "\u2581", "\u00e9", "\u65e5\u672c", "\U0001f600", "\0", "x" * 60]
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 12)))
+        got = encode(text)
+        want = [np.array(s(text), np.int32) for s in (side, b.encode)]
+        if a.joined(want[0]) == b.joined(want[1]) == b" " + text.encode():
+            assert all(np.array_equal(x, y) for x, y in zip(got, want, strict=True))
+        else:
+            assert got is None
+    encode.clear()
+    sizes.clear()
+    encode("one two three " * 1000)
+    encode("three two one two " * 1000)
+    assert encode.parted and sum(sizes) < 60
