@@ -452,3 +452,18 @@ def test_matches_in_parts_are_those_of_the_whole(monkeypatch, held):
     hub = {s: min(k for t, k, _ in rows if t == s) for s in range(3)}
     assert {(a, b, x, s) for a, b, x, y, s in met if s is not None} == {(k, hub[s], at, s) for s, k, at in rows if k != hub[s]}
     assert {(a, x) for a, b, x, y, s in met if s is None} == {(k, at) for s, k, at in rows if k != hub[s]}
+
+
+@pytest.mark.parametrize("block", [fuzzy_passages.BLOCK, 16])
+def test_fuzzy_passages_of_a_large_key_beside_its_hub(spark, monkeypatch, block):
+    """Five passages of 50 words in two texts each, and the first and the last 49 words of each in twenty others: all keys are large, and few hubs are alike."""
+    monkeypatch.setattr(fuzzy_passages, "BLOCK", block)
+    number, rows = iter(range(100_000)), []
+    fresh = lambda n: [f"u{next(number)}" for _ in range(n)]
+    for i in range(5):
+        passage = fresh(50)
+        rows += [(2 * i + s, " ".join(fresh(20 + s) + passage + fresh(25))) for s in (0, 1)]
+        rows += [(100 + 40 * i + 20 * p + n, " ".join(fresh(5 + n) + passage[p : p + 49] + fresh(9))) for p in (0, 1) for n in range(20)]
+    got = fuzzy(spark, rows)
+    assert set(got) == set(range(10))
+    assert {tuple(sorted((i, p))) for i, r in got.items() for p in r.partners} == {(2 * i, 2 * i + 1) for i in range(5)}
