@@ -467,3 +467,30 @@ def test_fuzzy_passages_of_a_large_key_beside_its_hub(spark, monkeypatch, block)
     got = fuzzy(spark, rows)
     assert set(got) == set(range(10))
     assert {tuple(sorted((i, p))) for i, r in got.items() for p in r.partners} == {(2 * i, 2 * i + 1) for i in range(5)}
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_places_of_a_large_key_meet_through_one_text(blocks):
+    """Runs of one word of 45 to 84 in 40 texts: those of 50 or more are alike, and each two of them are linked, or linked with one other, by far fewer links than pairs."""
+    number = iter(range(100_000))
+    fresh = lambda n: [f"u{next(number)}" for _ in range(n)]
+    texts = [" ".join(fresh(20 + i) + ["the"] * (45 + i) + fresh(70)) for i in range(40)]
+    wanted = [[20 + i, 36 + i, 52 + i] for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts), pa.array(wanted)], ["k", "text", "wanted"])
+    around = pa.Table.from_batches(list(fuzzy_passages._surroundings([batch])))
+    own = [k % blocks for k in around["k"].to_pylist()]
+    links = set()
+    for a in range(blocks):
+        for b in range(a, blocks):
+            rows = around.filter(pa.array([o in (a, b) for o in own]))
+            n = len(rows)
+            side = pa.array([o for o in own if o in (a, b)], pa.int32())
+            table = pa.table({"pair": pa.array([7] * n), "k": rows["k"], "x": rows["x"], "open": pa.array([1] * n, pa.int32()), "own": side, "one": pa.array([int(a == b)] * n, pa.int32()), "words": rows["words"]})
+            for got in fuzzy_passages._blocks(table.to_batches()):
+                links |= {tuple(sorted(x)) for x in zip(got["k"].to_pylist(), got["other"].to_pylist(), strict=True)}
+                for k, s, e in zip(*(got[c].to_pylist() for c in ("k", "s", "e")), strict=True):
+                    assert 20 + k <= s < e <= 65 + 2 * k
+    near = {i: {j for link in links if i in link for j in link} for i in range(40)}
+    assert all(not near[i] for i in range(5))
+    assert all(near[i] & near[j] for i in range(5, 40) for j in range(i + 1, 40))
+    assert len(links) < 200
