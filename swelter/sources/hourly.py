@@ -38,8 +38,10 @@ def _priority(report: Column, order) -> Column:
 
 
 def _station_rows(rows: DataFrame, offsets: DataFrame | None, as_of: datetime.datetime | None) -> DataFrame:
-    """One row per station and time by report priority, with derived pressure, in local time."""
-    best = Window.partitionBy("station_id", "t").orderBy("priority", F.desc_nulls_last("tair_c"), F.desc_nulls_last("dewpoint_c"))
+    """One row per station and time by report priority, with derived pressure, in local time. Reports of one kind and time go by their
+    values down to the last column, so the row kept does not depend on how rows are dealt."""
+    values = ("tair_c", "dewpoint_c", "station", "sea", "altimeter", "elevation", "lon")
+    best = Window.partitionBy("station_id", "t").orderBy("priority", *(F.desc_nulls_last(c) for c in values))
     rows = rows.where("t is not null and tair_c is not null and dewpoint_c is not null").withColumn("_r", F.row_number().over(best)).where("_r = 1")
     rows = rows.withColumn("pressure_hpa", station_pressure(*(F.col(c) for c in ("station", "sea", "altimeter", "elevation", "tair_c"))))
     if offsets is not None:

@@ -443,3 +443,10 @@ def test_kinds_of_daily_files_are_scanned_apart(spark, tmp_path):
     got = {r.source: r for r in tables.read_daily(spark, str(tmp_path)).collect()}
     assert {k: (r.location_id, r.wetbulb, r.observed_hours, r.station_id, r.year) for k, r in got.items()} == {"isd": (1, 1.5, None, "s", 2019), "nldas": (1, 1.5, None, None, 2020), "eccc": (1, 1.5, 22, None, 2020)}
     assert tables.read_daily(spark, str(tmp_path), start_year=2021).count() == 0
+
+
+def test_reports_that_tie_are_kept_the_same_however_rows_are_dealt(spark):
+    raw = [("s", "2020-01-01 00:00:00", "FM-15", "10", "20.0", "10.0", str(1000 + k), None, None) for k in range(40)]
+    columns = "station_id string, DATE string, REPORT_TYPE string, ELEVATION string, HourlyDryBulbTemperature string, HourlyDewPointTemperature string, HourlyStationPressure string, HourlySeaLevelPressure string, HourlyAltimeterSetting string"
+    for order in (raw, raw[::-1], raw[20:] + raw[:20]):
+        assert hourly.hourly_lcd(spark.createDataFrame(order, columns).coalesce(1)).first().pressure_hpa == 1039.0
