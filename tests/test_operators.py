@@ -457,3 +457,10 @@ def test_representative_does_not_hang_on_the_last_bits_of_a_variance(spark):
     fits = [(1, "Annual", "m", 30, 1.0, 0.1 + 0.2), (2, "Annual", "m", 30, 2.0, 0.3), (3, "Annual", "m", 30, 3.0, 0.3001), (4, "Annual", "m", 29, 4.0, 1e-8)]
     groups = spark.createDataFrame([(k, "g") for k in range(1, 5)], "location_id int, station_group string")
     assert [r.location_id for r in forecast.group_representatives(spark.createDataFrame(fits, shape), groups).collect()] == [1]
+
+
+def test_series_are_equal_with_all_rows_of_a_day_or_with_the_best(spark):
+    shape = "location_id int, date date, wetbulb double, wetbulb_avg double, source string"
+    rows_ = [(k, day(n), 1.0 * n, 0.5, "isd") for k in (1, 2) for n in range(3)] + [(2, day(1), 0.0, 0.5, "nldas")]
+    found = lambda **o: [r.location_ids for r in audit.duplicate_series(spark.createDataFrame(rows_, shape), **o).collect()]
+    assert found() == [[1, 2]] and found(best_source=False) == []
