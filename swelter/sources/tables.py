@@ -64,15 +64,17 @@ def _mapped(c: Column, table: dict[str, str]) -> Column:
     return F.element_at(F.create_map(*(F.lit(x) for kv in table.items() for x in kv)), c)
 
 
-def read_places_us(estimates: DataFrame, gazetteer: DataFrame, *, summary_levels=(162,), population: str = "POPESTIMATE2023") -> DataFrame:
-    """Census places of the contiguous states with the points of the gazetteer; the last row of a place wins (by ``row`` if there is one)."""
+def read_places_us(estimates: DataFrame, gazetteer: DataFrame, *, summary_levels=(162,), population: str = "POPESTIMATE2023", by=()) -> DataFrame:
+    """Census places of the contiguous states with the points of the gazetteer; the last row of a place wins (by ``row`` if there is one).
+
+    ``by`` names columns of both tables that tell files apart in which place numbers are given anew; a place stands once in each."""
     state, place = F.lpad(F.col("STATE"), 2, "0"), F.lpad(F.col("PLACE"), 5, "0")
     rows = estimates.where(number(F.col("SUMLEV")).isin(*map(float, summary_levels)) & ~state.isin(*EXCLUDED_STATES))
-    rows = rows.select(F.concat(state, place).alias("geoid"), clean_place_name(F.col("NAME")).alias("city"), _mapped(state, STATES).alias("state"), number(F.col(population)).cast("long").alias("population"), *(["row"] if "row" in estimates.columns else []))
-    last = Window.partitionBy("geoid").orderBy(F.desc("row") if "row" in rows.columns else F.desc("population"), "city")
+    rows = rows.select(F.concat(state, place).alias("geoid"), clean_place_name(F.col("NAME")).alias("city"), _mapped(state, STATES).alias("state"), number(F.col(population)).cast("long").alias("population"), *by, *(["row"] if "row" in estimates.columns else []))
+    last = Window.partitionBy("geoid", *by).orderBy(F.desc("row") if "row" in rows.columns else F.desc("population"), "city")
     rows = rows.where("population is not null and state is not null").withColumn("_r", F.row_number().over(last)).where("_r = 1")
-    points = gazetteer.select(F.lpad(F.col("GEOID"), 7, "0").alias("geoid"), number(F.col("INTPTLAT")).alias("lat"), number(F.col("INTPTLONG")).alias("lng")).where("lat is not null and lng is not null").dropDuplicates(["geoid"])
-    return rows.join(points, "geoid").select(F.concat(F.lit("US"), "geoid").alias("place_id"), "city", "state", F.lit("US").alias("country"), "population", "lat", "lng")
+    points = gazetteer.select(F.lpad(F.col("GEOID"), 7, "0").alias("geoid"), number(F.col("INTPTLAT")).alias("lat"), number(F.col("INTPTLONG")).alias("lng"), *by).where("lat is not null and lng is not null").dropDuplicates(["geoid", *by])
+    return rows.join(points, ["geoid", *by]).select(F.concat(F.lit("US"), "geoid").alias("place_id"), "city", "state", F.lit("US").alias("country"), "population", "lat", "lng")
 
 
 def read_places_ca(csd: DataFrame, *, types=("C", "CV", "CY", "DM", "M", "MD", "MU", "RGM", "T", "TV", "V", "VL")) -> DataFrame:

@@ -464,3 +464,10 @@ def test_series_are_equal_with_all_rows_of_a_day_or_with_the_best(spark):
     rows_ = [(k, day(n), 1.0 * n, 0.5, "isd") for k in (1, 2) for n in range(3)] + [(2, day(1), 0.0, 0.5, "nldas")]
     found = lambda **o: [r.location_ids for r in audit.duplicate_series(spark.createDataFrame(rows_, shape), **o).collect()]
     assert found() == [[1, 2]] and found(best_source=False) == []
+
+
+def test_place_numbers_may_begin_anew_in_each_file(spark):
+    est = spark.createDataFrame([(f, "162", "1", "7", f"Place{f} city", str(100 + f)) for f in (0, 1)], "file int, SUMLEV string, STATE string, PLACE string, NAME string, POPESTIMATE2023 string")
+    gaz = spark.createDataFrame([(f, "0100007", str(30.0 + f), "-90.0") for f in (0, 1)], "file int, GEOID string, INTPTLAT string, INTPTLONG string")
+    assert rows(tables.read_places_us(est, gaz, by=["file"]), "place_id", "city", "population", "lat") == [("US0100007", "Place0", 100, 30.0), ("US0100007", "Place1", 101, 31.0)]
+    assert rows(tables.read_places_us(est, gaz), "city") == [("Place1",)]
