@@ -52,3 +52,43 @@ def test_backtest_queries_take_the_whole_range(spark):
     if os.path.isdir(DIR):
         origins = {r.origin for r in registry.QUERIES["b2_backtest_cases"](spark, DIR).select("origin").distinct().collect()}
         assert origins == set(range(2009, 2025))
+
+
+@pytest.fixture(scope="module")
+def far_keys(tmp_path_factory):
+    """Tables of few suppliers, whose keys are those of a table hundreds of times larger."""
+    if not os.path.isdir(DIR):
+        pytest.skip("the driver's tables are not here")
+    folder = tmp_path_factory.mktemp("far")
+    con = duckdb.connect()
+    con.sql(f"copy (select * from '{DIR}/nation.parquet') to '{folder}/nation.parquet' (format parquet)")
+    con.sql(f"copy (select s_suppkey + x as s_suppkey, s_name || x as s_name, s_nationkey, s_acctbal from '{DIR}/supplier.parquet' cross join (values (0), (97300), (271000)) v(x)) to '{folder}/supplier.parquet' (format parquet)")
+    for name in ("nation", "supplier"):
+        con.sql(f"create view {name} as select * from '{folder}/{name}.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("name", ("v5_city_rankings_eu", "l3_merge_incremental", "l4_upsert_by_precedence", "l4_merge_partitions", "p9_gmst_forecast", "q1_deduplicate_by_source"))
+def test_supplier_keys_beyond_32_bit_products(spark, far_keys, name):
+    folder, con = far_keys
+    got, want = registry.QUERIES[name](spark, folder), con.sql(registry.ORACLES[name])
+    columns = sorted(want.columns)
+    at = [want.columns.index(c) for c in columns]
+    assert sorted(str([plain(r[c]) for c in columns]) for r in got.collect()) == sorted(str([plain(r[k]) for k in at]) for r in want.fetchall())
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="the driver's tables are not here")
+def test_days_are_dealt_by_location_before_they_are_made(spark):
+    def plan(name):
+        return registry.QUERIES[name](spark, DIR)._jdf.queryExecution().executedPlan().toString()
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("b1_annual_metrics", "q1_deduplicate_by_source", "v2_year_stats"):
+        dealt = [x for x in plan(name).splitlines() if "Exchange hashpartitioning" in x]
+        assert dealt and all("REPARTITION_BY_NUM" in x and f", {tasks})" in x for x in dealt), name
+
+
+@pytest.mark.skipif(not os.path.isdir(DIR), reason="the driver's tables are not here")
+def test_cases_go_through_the_days_once(spark):
+    for name in ("b2_backtest_cases", "b2_backtest_cases_oracle", "b5_evaluate_gate"):
+        assert "s_suppkey" not in registry.QUERIES[name](spark, DIR)._jdf.queryExecution().executedPlan().toString()
