@@ -38,17 +38,21 @@ def backtest_cases(annual: DataFrame, gmst: DataFrame, groups: DataFrame, *, ori
     """
     spark = annual.sparkSession
     at = F.broadcast(spark.createDataFrame([(o,) for o in origins], "origin int"))
-    long = annual.unpivot(["location_id", "year", "season"], list(METRICS), "metric", "value").where("value is not null")
-    train = long.where(F.col("year") >= first_year).join(at, F.col("year") <= F.col("origin"))
+    # years before the first have no origin with a fit, and cities without a group no case; what is left is small beside the days, which
+    # are gone through once for it
+    annual = durable(annual.where(F.col("year") >= first_year).join(groups.select("location_id", "station_group"), "location_id").select("location_id", "station_group", "year", "season", *METRICS))
+    long = annual.unpivot(["location_id", "station_group", "year", "season"], list(METRICS), "metric", "value").where("value is not null")
+    train = long.join(at, F.col("year") <= F.col("origin"))
     keys = ("origin", "season", "metric")
-    fits = gmst_fit(train, gmst, keys=("location_id", *keys), min_n=min_n)
+    each = ["location_id", "station_group", *keys]
+    trend = [F.avg("value").alias("vbar"), F.avg("year").alias("ybar"), F.regr_slope("value", "year").alias("per_year")]
+    fits = gmst_fit(train, gmst, keys=each, min_n=min_n, more=trend)
     shrunk = shrink_slopes(fits, random_effects_pool(group_representatives(fits, groups, keys=keys), keys=keys), keys=keys, floor_prior=True)
-    trend = train.join(F.broadcast(gmst.select("year")), "year").groupBy("location_id", *keys).agg(F.avg("value").alias("vbar"), F.avg("year").alias("ybar"), F.regr_slope("value", "year").alias("per_year"))
     known = gmst.where(F.col("year") >= first_year).join(at, F.col("year") <= F.col("origin"))
     g = known.groupBy("origin").agg(F.count("*").alias("gn"), F.avg("year").alias("gy"), F.avg("anomaly").alias("ga"), F.regr_slope("anomaly", "year").alias("gs"), F.regr_sxx("anomaly", "year").alias("gx"), F.regr_syy("anomaly", "year").alias("gyy"))
     rest = F.greatest(F.lit(0.0), (F.col("gyy") - F.pow("gs", F.lit(2)) * F.col("gx")) / (F.col("gn") - 2))
     ahead = long.withColumnRenamed("value", "actual").join(at, (F.col("year") > F.col("origin")) & (F.col("year") <= F.col("origin") + horizon))
-    rows = ahead.join(shrunk, ["location_id", *keys]).join(trend, ["location_id", *keys]).join(groups, "location_id").where("per_year is not null")
+    rows = ahead.join(shrunk, each).where("per_year is not null")
     if oracle:
         rows = rows.join(F.broadcast(gmst.select("year", F.col("anomaly").alias("predictor"))), "year").withColumn("pvar", F.lit(0.0))
     else:
@@ -100,9 +104,9 @@ def exact_quantiles(rows: DataFrame, keys: list[str], value: str, q: float, accu
 def calibration_factors(cases: DataFrame, origins: DataFrame | int, *, q: float = 0.7, min_cases: int = 100) -> DataFrame:
     """Interval factors per origin and metric from the errors known by then, one case a group; at least 1."""
     at = cases.sparkSession.createDataFrame([(origins,)], "gate int") if isinstance(origins, int) else origins.select(F.col("origin").alias("gate"))
-    known = cases.where("season = 'Annual'").join(F.broadcast(at), (F.col("origin") < F.col("gate")) & (F.col("year") <= F.col("gate")))
-    first = Window.partitionBy("gate", "station_group", "origin", "year", "metric").orderBy("location_id")
-    scores = known.withColumn("r", F.row_number().over(first)).where("r = 1").select("gate", "metric", _standardised().alias("score"))
+    # which case stands for a group does not depend on the gate, so one of each is left before they meet the gates
+    one = cases.where("season = 'Annual'").groupBy("station_group", "origin", "year", "metric").agg(F.min_by(_standardised(), "location_id").alias("score"))
+    scores = one.join(F.broadcast(at), (F.col("origin") < F.col("gate")) & (F.col("year") <= F.col("gate"))).select("gate", "metric", "score")
     # the q-quantile without interpolation, rounded up: rank ceil(q (n - 1)) from 0
     picked = exact_quantiles(durable(scores), ["gate", "metric"], "score", q)
     factor = F.when(F.col("n") >= min_cases, F.greatest("score", F.lit(1.0))).otherwise(1.0)

@@ -22,7 +22,7 @@ ANNUAL = f"""SELECT location_id, year, season, CAST(dp AS INT) AS days_present,
 
 @query("b1_annual_metrics", f"SELECT location_id, year, season, days_present, {r('avg_wetbulb', 6)} AS avg_wetbulb, {r('max_wetbulb', 6)} AS max_wetbulb, days_present_avg, {r('avg_wetbulb_avg', 6)} AS avg_wetbulb_avg, {r('max_wetbulb_avg', 6)} AS max_wetbulb_avg FROM ({ANNUAL})")
 def _(t):
-    return bt.annual_metrics(t.dense_daily).withColumns({c: rounded(c, 6) for c in bt.METRICS})
+    return bt.annual_metrics(t.fine().dense_daily).withColumns({c: rounded(c, 6) for c in bt.METRICS})
 
 
 def cases_sql(oracle: bool = False) -> str:
@@ -52,7 +52,7 @@ def cases_sql(oracle: bool = False) -> str:
 
 def _cases(t, oracle=False, origins=ORIGINS):
     noise = ((F.col("location_id") * 31 + F.col("year") * 17) % 13).cast("double") / 10  # else the yearly maxima lie on a line
-    annual = bt.annual_metrics(t.dense_daily).withColumns({c: F.col(c) + noise for c in bt.METRICS})
+    annual = bt.annual_metrics(t.fine().dense_daily).withColumns({c: F.col(c) + noise for c in bt.METRICS})
     return bt.backtest_cases(annual, t.gmst_obs, t.station_groups, origins=origins, oracle=oracle)
 
 
