@@ -471,3 +471,38 @@ def test_place_numbers_may_begin_anew_in_each_file(spark):
     gaz = spark.createDataFrame([(f, "0100007", str(30.0 + f), "-90.0") for f in (0, 1)], "file int, GEOID string, INTPTLAT string, INTPTLONG string")
     assert rows(tables.read_places_us(est, gaz, by=["file"]), "place_id", "city", "population", "lat") == [("US0100007", "Place0", 100, 30.0), ("US0100007", "Place1", 101, 31.0)]
     assert rows(tables.read_places_us(est, gaz), "city") == [("Place1",)]
+
+
+def test_places_at_one_point_are_matched_once(spark):
+    """Cities and stations at few points: what is ranked is the same as by all pairs, and pairs are made for sites and not for cities."""
+    made = []
+    near, geo.near_pairs = geo.near_pairs, lambda *a, **o: made.append(near(*a, **o)) or made[-1]
+    try:
+        cities = spark.range(300).selectExpr("cast(id as int) location_id", "40 + id % 3 * 0.1 lat", "-100.0D lng", "cast(id % 2 * 100 as double) dem_m")
+        cities = cities.withColumn("lat", F.col("lat").cast("double"))
+        at = spark.range(400).selectExpr("concat('s', lpad(id, 4, '0')) station_id", "cast(40 + id % 4 * 0.1 as double) lat", "-100.0D lon", "cast(id % 2 * 50 as double) elev_m", "cast(1985 + id % 3 * 10 as int) begin_year", "cast(2015 + id % 5 as int) end_year")
+        scores = at.selectExpr("station_id", "cast(substr(station_id, 4, 2) as int) % 3 / 3.0D score")
+        seen = at.selectExpr("station_id", "explode(array(1990, 2020)) year").where("(cast(substr(station_id, 2) as int) + year) % 7 <> 0")
+        got = [geo.rank_station_candidates(cities, at, scores).where("candidate_rank <= 5"), geo.rank_station_candidates_recent_history(cities, at), geo.first_verified_station(cities, at, seen, start_year=1990, end_year=2020), geo.nearest_place_attributes(cities.selectExpr("location_id place_id", "lat", "lng"), at.selectExpr("station_id name", "lat", "lon lng", "elev_m dem_m", "'Europe/Berlin' timezone"))]
+        assert [g.count() for g in got] == [1500, 1500, 300, 300]
+        # sites times the stations that names alone do not tell apart: 6 x at most 5 of each kind, far below 300 x 400
+        assert [m.count() < n for m, n in zip(made, (1000, 3000, 1000, 20), strict=True)] == [True] * 4
+        ranked = geo.rank_station_rows(cities, at, start_year=1990, end_year=2020)
+        assert ranked.count() == 300 * 400
+        assert rows(got[2]) == rows(geo.pick_verified_station(ranked, seen, start_year=1990, end_year=2020))
+    finally:
+        geo.near_pairs = near
+
+
+def test_claims_look_at_the_largest_cities_only(spark):
+    cities = spark.range(9000).selectExpr("cast(id as int) location_id", "cast(id as double) lat", "0.0D lng", "id div 2 population")
+    avail = spark.createDataFrame([("s", 2020), ("t", 2020)], "station_id string, year int")
+    asked = []
+
+    def ranked(some):
+        asked.append(some.count())
+        return some.where("location_id < 8900").selectExpr("location_id", "if(location_id % 5 = 0, 's', 't') station_id", "1 station_rank", "1.0D dist_km")
+
+    _, stations_ = catalog.claim_unique(cities, ranked, avail, start_year=1990, end_year=2020, limit=2)
+    assert sorted((r.location_id, r.station_id) for r in stations_.collect()) == [(8895, "s"), (8898, "t")]
+    assert asked[0] < 100 and asked == sorted(asked) and asked[-1] < 9000
