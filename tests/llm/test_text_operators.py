@@ -494,3 +494,15 @@ def test_places_of_a_large_key_meet_through_one_text(blocks):
     assert all(not near[i] for i in range(5))
     assert all(near[i] & near[j] for i in range(5, 40) for j in range(i + 1, 40))
     assert len(links) < 200
+
+
+def test_fuzzy_places_of_a_seed_all_meet():
+    """400 products of places of one seed in two texts, and some hundred thousand, each once; parts end with a place of the first text."""
+    from swelter.llm import fuzzy_passages as fp
+
+    for n, m in ((20, 20), (700, 300)):
+        k = np.repeat([1, 2], [m, n])
+        parts = [(p, q) for p, q, _ in fp._paired(np.zeros(n + m, np.int64), k, ())]
+        p, q = (np.concatenate(x) for x in zip(*parts, strict=True))
+        assert len(set(zip(p.tolist(), q.tolist(), strict=True))) == len(p) == n * m and set(k[p]) == {2} and set(k[q]) == {1}
+        assert all(a[-1] != b[0] for (a, _), (b, _) in zip(parts, parts[1:], strict=False))
